@@ -1,69 +1,67 @@
-"""Boolean Columns: what a link is, and what counts as a job posting."""
+"""Boolean Columns: what a link is, and what counts as a job posting.
+
+Parameters named `path` are lower-case paths; for the link classes they have no trailing slash.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vacancyflow.functions.text import contains_any, strip
-from vacancyflow.functions.urls import bare_path, host, lower_path, segment_count
+from vacancyflow.functions.text import contains_any
+from vacancyflow.functions.urls import segment_count
 from vacancyflow.profile import SiteProfile
 
+# Lengths of the two sign-in texts.
+SIGN_IN_SIZES = (600, 500)
+
 
-def is_hub(url: Column, profile: SiteProfile) -> Column:
-    path = bare_path(url)
+def is_hub(path: Column, profile: SiteProfile) -> Column:
     inside = contains_any(path, [f"/{word}/" for word in profile.career_words])
     return path.isin("", *[f"/{word}" for word in profile.career_words]) | (inside & (segment_count(path) <= 2))
 
 
-def is_job_page(url: Column, profile: SiteProfile) -> Column:
-    path = bare_path(url)
+def is_job_page(path: Column, profile: SiteProfile) -> Column:
     return (path != "") & (contains_any(path, profile.blog_paths) | (segment_count(path) >= 2))
 
 
-def is_listing(url: Column, profile: SiteProfile) -> Column:
-    path = bare_path(url)
+def is_listing(path: Column, profile: SiteProfile) -> Column:
     search = path.contains(profile.listing_word) & ~path.contains(f"/{profile.detail_word}")
     short = (segment_count(path) <= 2) & contains_any(path, profile.career_words)
     ending = path.rlike("/(?:" + "|".join(profile.career_words) + ")$")
     return (path != "") & (search | short | ending)
 
 
-def is_vendor_apex(url: Column, profile: SiteProfile) -> Column:
-    return host(url).isin(*profile.vendor_apex_hosts)
-
-
-def is_posting(url: Column, title: Column, profile: SiteProfile) -> Column:
-    """The link and title of a real posting, not of a blog or marketing item."""
-    path, netloc = lower_path(url), host(url)
+def is_posting(host: Column, path: Column, title: Column, profile: SiteProfile) -> Column:
+    """Host, lower-case path and title of a real posting, not of a blog or marketing item."""
     words, listing = profile.career_words, profile.listing_word
-    apex = netloc.isin(*profile.vendor_apex_hosts)
+    apex = host.isin(*profile.vendor_apex_hosts)
     apex_content = contains_any(path, (*profile.blog_paths, *profile.marketing_words)) | ~contains_any(
         path, (*[f"/{word}/" for word in words], listing)
     )
     other_content = contains_any(path, profile.non_job_patterns) | contains_any(
         F.lower(F.coalesce(title, F.lit(""))), profile.non_job_patterns
     )
-    vendor_job = (
-        netloc.contains(f".{profile.vendor_suffix}") & ~apex & contains_any(path, (*words, listing))
-    )
+    vendor_job = host.contains(f".{profile.vendor_suffix}") & ~apex & contains_any(path, (*words, listing))
     any_job = contains_any(path, (*[f"/{word}" for word in words], listing))
-    known = F.coalesce(url, F.lit("")) != ""
-    return known & ~(apex & apex_content) & ~other_content & (vendor_job | any_job)
+    return ~(apex & apex_content) & ~other_content & (vendor_job | any_job)
 
 
-def is_login_wall(description: Column) -> Column:
-    """A sign-in form's text where a description should be. Texts and lengths."""
-    text = strip(F.coalesce(description, F.lit("")))
-    lower, size = F.lower(text), F.length(text)
+def is_login_wall(head: Column, size: Column) -> Column:
+    """A sign-in form's text where a description should be.
+
+    `size` is the length of the stripped text and `head` its lower-case start, at least as long as the
+    limits: beyond them only the first words matter.
+    """
+    longest, longer = SIGN_IN_SIZES
     return (
-        lower.startswith("your password must")
-        | (lower.contains("forgot your password?") & lower.contains("login") & (size < 600))
+        head.startswith("your password must")
+        | (head.contains("forgot your password?") & head.contains("login") & (size < longest))
         | (
-            lower.startswith("already registered?")
-            & lower.contains("login")
-            & lower.contains("password")
-            & (size < 500)
+            head.startswith("already registered?")
+            & head.contains("login")
+            & head.contains("password")
+            & (size < longer)
         )
     )
 
@@ -71,14 +69,3 @@ def is_login_wall(description: Column) -> Column:
 def has_barred_url(url: Column, profile: SiteProfile) -> Column:
     """Blog links (case kept) and sign-in links (any case)."""
     return contains_any(url, profile.blog_paths) | F.lower(url).contains(profile.login_path)
-
-
-def is_acceptable(url: Column, title: Column, description: Column, profile: SiteProfile) -> Column:
-    """The test a job row has to pass before it may enter the result."""
-    link = F.coalesce(url, F.lit(""))
-    rejected = (
-        has_barred_url(link, profile)
-        | is_login_wall(description)
-        | (is_vendor_apex(link, profile) & ~is_posting(link, title, profile))
-    )
-    return ~rejected

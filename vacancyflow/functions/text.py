@@ -8,14 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode blanks plus the four ASCII separators.
-_BLANKS = r"[\s\x1c-\x1f]+"
-_OUTER_BLANKS = rf"(?U)^{_BLANKS}|{_BLANKS}$"
+# Blanks of any kind: all below U+3001 that Unicode or ASCII calls white space.
+_BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def strip(text: Column) -> Column:
     """Remove blanks of any kind, not only spaces, from both ends."""
-    return F.regexp_replace(text, _OUTER_BLANKS, "")
+    return F.trim(text, F.lit(_BLANKS))
 
 
 def none_if_blank(text: Column) -> Column:

@@ -1,14 +1,17 @@
-"""URL taking-apart and joining as native Column expressions (RFC 3986 splitting, no UDF)."""
+"""URL taking-apart and joining as native Column expressions (RFC 3986 splitting, no UDF).
+
+Functions that need several parts of a URL take `UrlParts`. Callers compute them with `split_url`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancyflow.functions.text import contains_any
+from vacancyflow.functions.once import once
 
 _URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _LEADING_CONTROLS_OR_BREAKS = r"^[\x00-\x20]+|[\t\r\n]"
@@ -22,57 +25,73 @@ _BROKEN_HOST = (
 
 @dataclass(frozen=True)
 class UrlParts:
+    """Scheme (lower case), netloc as written, path, query and fragment; missing ones are empty.
+
+    Flat columns, not a struct: pruning single struct fields below a chain of generators makes Spark 4.1
+    drop columns that are still needed.
+    """
+
     scheme: Column
     netloc: Column
     path: Column
     query: Column
     fragment: Column
 
+    @classmethod
+    def split(cls, url: Column) -> UrlParts:
+        tidy = F.regexp_replace(url, _LEADING_CONTROLS_OR_BREAKS, "")
+        scheme, *others = (F.regexp_extract(tidy, _URL, group) for group in range(1, 6))
+        return cls(F.lower(scheme), *others)
+
+    @classmethod
+    def columns(cls, prefix: str) -> UrlParts:
+        return cls(*[F.col(prefix + part.name) for part in fields(cls)])
 
-def _split(url: Column) -> UrlParts:
-    tidy = F.regexp_replace(url, _LEADING_CONTROLS_OR_BREAKS, "")
-    scheme, netloc, path, query, fragment = (F.regexp_extract(tidy, _URL, group) for group in range(1, 6))
-    return UrlParts(F.lower(scheme), netloc, path, query, fragment)
+    def named(self, prefix: str) -> dict[str, Column]:
+        return {prefix + part.name: getattr(self, part.name) for part in fields(self)}
 
 
-def url_parts(url: Column) -> UrlParts:
-    """Scheme (lower case), netloc as written, path without `;params`, query and fragment."""
-    parts = _split(url)
-    return UrlParts(parts.scheme, parts.netloc, without_params(parts.path), parts.query, parts.fragment)
+def split_url(rows: DataFrame, url: str, prefix: str) -> DataFrame:
+    """Adds the parts of the column `url`, each computed once; `UrlParts.columns(prefix)` names them."""
+    return once(rows, **UrlParts.split(F.col(url)).named(prefix))
 
 
-def without_params(path: Column) -> Column:
-    return F.regexp_replace(path, ";[^/]*$", "")
+def host(parts: UrlParts) -> Column:
+    return F.lower(parts.netloc)
 
 
-def netloc(url: Column) -> Column:
-    return _split(url).netloc
+def origin(parts: UrlParts) -> Column:
+    return F.concat(parts.scheme, F.lit("://"), parts.netloc)
 
 
-def host(url: Column) -> Column:
-    return F.lower(netloc(url))
+def own_path(parts: UrlParts) -> Column:
+    """Path without `;params` of its last segment."""
+    return F.regexp_replace(parts.path, ";[^/]*$", "")
 
 
-def lower_path(url: Column) -> Column:
-    return F.lower(url_parts(url).path)
+def lower_path(parts: UrlParts) -> Column:
+    return F.lower(own_path(parts))
 
 
-def bare_path(url: Column) -> Column:
-    """Lower-cased path without trailing slashes: the form the link classes are defined on."""
-    return F.regexp_replace(lower_path(url), "/+$", "")
+def without_end_slashes(text: Column) -> Column:
+    return F.rtrim(text, F.lit("/"))
 
 
-def origin(url: Column) -> Column:
-    parts = _split(url)
-    return F.concat(parts.scheme, F.lit("://"), parts.netloc)
+def bare_path(parts: UrlParts) -> Column:
+    """Lower-cased path without trailing slashes: the form the link classes are defined on."""
+    return without_end_slashes(lower_path(parts))
 
 
 def segment_count(path: Column) -> Column:
     return F.regexp_count(path, F.lit("[^/]+"))
 
 
+def slash_count(path: Column) -> Column:
+    return F.regexp_count(path, F.lit("/"))
+
+
 def last_segment(path: Column) -> Column:
-    return F.regexp_extract(path, "([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def has_digit_segment(path: Column) -> Column:
@@ -86,27 +105,18 @@ def is_unreadable(url: Column) -> Column:
 
 def normalise(url: Column) -> Column:
     """No trailing slashes, and a scheme in front."""
-    bare = F.regexp_replace(url, "/+$", "")
+    bare = without_end_slashes(url)
     return F.when(bare.startswith("http"), bare).otherwise(F.concat(F.lit("https://"), bare))
 
 
-def at_origin(origin_url: Column, path: Column | str) -> Column:
-    return F.concat(origin_url, F.lit(path) if isinstance(path, str) else path)
-
-
-def feed_rank(url: Column, paths: Sequence[str]) -> Column:
+def feed_rank(url: Column, parts: UrlParts, paths: Sequence[str]) -> Column:
     """1-based place of a feed URL in `paths`, 0 for any URL that is not an origin plus one of them."""
-    parts = _split(url)
-    at = F.array_position(F.array(*[F.lit(p) for p in paths]), parts.path)
-    exact = url == F.concat(parts.scheme, F.lit("://"), parts.netloc, parts.path)
-    # The cheap suffix test first: nearly all URLs fail it and are not taken apart.
-    suffix = contains_any(url, [p.rsplit("/", 1)[-1] for p in paths])
-    return F.when(suffix, F.when(exact, at).otherwise(0)).otherwise(0).cast("int")
+    at = F.array_position(F.array(*[F.lit(path) for path in paths]), parts.path)
+    return F.when(url == F.concat(origin(parts), parts.path), at).otherwise(0).cast("int")
 
 
 def _without_dot_segments(path: Column) -> Column:
     segments = F.split(path, "/", -1)
-    last = F.element_at(segments, -1)
     kept = F.aggregate(
         F.filter(segments, lambda s: s != "."),
         F.expr("cast(array() as array<string>)"),
@@ -114,39 +124,31 @@ def _without_dot_segments(path: Column) -> Column:
             F.concat(done, F.array(s))
         ),
     )
-    ended_on_dots = last.isin(".", "..")
-    joined = F.array_join(F.when(ended_on_dots, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
-    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+    ended_on_dots = last_segment(path).isin(".", "..")
+    end = F.when(ended_on_dots, F.array(F.lit(""))).otherwise(F.expr("cast(array() as array<string>)"))
+    joined = F.array_join(F.concat(kept, end), "/")
+    return F.concat(F.lit("/"), F.regexp_replace(joined, "^/", ""))
 
 
 def _prefixed(mark: str, text: Column) -> Column:
     return F.when(text != "", F.concat(F.lit(mark), text)).otherwise("")
 
 
-def resolve(base: Column, href: Column) -> Column:
-    """Absolute form of `href` as seen from the http(s) URL `base`."""
-    b, r = _split(base), _split(href)
-    directory = F.regexp_replace(b.path, "[^/]*$", "")
-    relative = F.regexp_replace(
-        F.concat(F.when(directory == "", "/").otherwise(directory), r.path), "/{2,}", "/"
-    )
-    merged = F.when(r.path.startswith("/"), r.path).otherwise(relative)
-    path = F.when(merged.rlike(_DOT_SEGMENT), _without_dot_segments(merged)).otherwise(merged)
-    tail = F.concat(_prefixed("?", r.query), _prefixed("#", r.fragment))
-    own_host = F.concat(b.scheme, F.lit("://"), b.netloc)
-    same_page = F.concat(
-        own_host,
-        b.path,
-        _prefixed("?", F.when(r.query == "", b.query).otherwise(r.query)),
-        _prefixed("#", r.fragment),
-    )
-    other_host_path = F.when((r.path == "") | r.path.startswith("/"), r.path).otherwise(
-        F.concat(F.lit("/"), r.path)
-    )
+def resolve(base_url: Column, base: UrlParts, href: Column, link: UrlParts) -> Column:
+    """Absolute form of `href`, whose parts are `link`, as seen from the http(s) URL with the parts `base`."""
+    path = link.path
+    directory = F.regexp_replace(base.path, "[^/]*$", "")
+    relative = F.regexp_replace(F.concat(F.lit("/"), directory, path), "/{2,}", "/")
+    merged = F.when(path.startswith("/"), path).otherwise(relative)
+    clean = F.when(merged.rlike(_DOT_SEGMENT), _without_dot_segments(merged)).otherwise(merged)
+    fragment = _prefixed("#", link.fragment)
+    tail = F.concat(_prefixed("?", link.query), fragment)
+    inherited = F.when(link.query == "", base.query).otherwise(link.query)
+    elsewhere_path = F.when((path == "") | path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
     return (
-        F.when(href == "", base)
-        .when((r.scheme != "") & (r.scheme != b.scheme), href)
-        .when(r.netloc != "", F.concat(b.scheme, F.lit("://"), r.netloc, other_host_path, tail))
-        .when(r.path == "", same_page)
-        .otherwise(F.concat(own_host, path, tail))
+        F.when(href == "", base_url)
+        .when((link.scheme != "") & (link.scheme != base.scheme), href)
+        .when(link.netloc != "", F.concat(base.scheme, F.lit("://"), link.netloc, elsewhere_path, tail))
+        .when(path == "", F.concat(origin(base), base.path, _prefixed("?", inherited), fragment))
+        .otherwise(F.concat(origin(base), clean, tail))
     )

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacancyflow.functions.once import once
 from vacancyflow.functions.predicates import is_posting
 from vacancyflow.functions.text import none_if_blank, or_default, strip
-from vacancyflow.functions.urls import at_origin, feed_rank, netloc, origin, url_parts
+from vacancyflow.functions.urls import UrlParts, feed_rank, host, lower_path, origin, split_url
 from vacancyflow.operators.schema import FEED_PASS, JOB_COLUMNS, metadata, seq
 from vacancyflow.profile import SiteProfile
-from vacancyflow.sources.feeds import item_fields
+from vacancyflow.sources.feeds import with_item_fields
 
 
 def feed_addresses(origins: DataFrame, paths: Sequence[str]) -> DataFrame:
@@ -21,18 +22,22 @@ def feed_addresses(origins: DataFrame, paths: Sequence[str]) -> DataFrame:
     return origins.select("*", ranked).select(
         *origins.columns,
         (F.col("place") + 1).alias("feed_rank"),
-        at_origin(F.col("origin"), F.col("path")).alias("feed_url"),
+        F.concat("origin", "path").alias("feed_url"),
     )
 
 
-def _feeds(pages: DataFrame, column: str, paths: Sequence[str]) -> DataFrame:
-    """Feed rows found by their own address: (origin, feed_rank, feed_url, column)."""
-    url = F.col("url")
-    return (
-        pages.where(F.col(column).isNotNull())
-        .withColumn("feed_rank", feed_rank(url, paths))
-        .where("feed_rank > 0")
-        .select(origin(url).alias("origin"), "feed_rank", url.alias("feed_url"), column)
+def feeds_with(pages: DataFrame, column: str, paths: Sequence[str]) -> DataFrame:
+    """Feed rows found by their own address: (origin, feed_rank, feed_url, site, scheme, column)."""
+    url, parts = F.col("url"), UrlParts.columns("feed_")
+    split = split_url(pages.where(F.col(column).isNotNull()).select("url", column), "url", "feed_")
+    ranked = split.withColumn("feed_rank", feed_rank(url, parts, paths)).where("feed_rank > 0")
+    return ranked.select(
+        origin(parts).alias("origin"),
+        "feed_rank",
+        url.alias("feed_url"),
+        parts.netloc.alias("site"),
+        parts.scheme.alias("scheme"),
+        column,
     )
 
 
@@ -46,20 +51,19 @@ def item_link(link: Column, guid: Column, scheme: Column) -> Column:
 
 def posting_items(pages: DataFrame, profile: SiteProfile) -> DataFrame:
     """Items that have a link and look like postings, one row each with its place in the feed."""
-    items = _feeds(pages, "feed_items", profile.job_feed_paths).select(
-        "origin", "feed_rank", "feed_url", F.posexplode("feed_items").alias("pos", "item")
+    feeds = feeds_with(pages, "feed_items", profile.job_feed_paths)
+    items = feeds.select("*", F.posexplode("feed_items").alias("pos", "item")).select(
+        "origin", "feed_rank", "feed_url", "site", "scheme", "pos", "item.*"
     )
-    fields = items.select("origin", "feed_rank", "feed_url", "pos", *_named(item_fields(F.col("item"))))
-    scheme = url_parts(F.col("feed_url")).scheme
-    return fields.withColumn("link", item_link(F.col("link"), F.col("guid"), scheme)).where(
-        (F.col("link") != "") & is_posting(F.col("link"), F.col("title"), profile)
+    fields = with_item_fields(items)
+    linked = once(fields, url=item_link(F.col("link"), F.col("guid"), F.col("scheme"))).where("url <> ''")
+    parts = UrlParts.columns("link_")
+    known = once(split_url(linked, "url", "link_"), host=host(parts), path=lower_path(parts))
+    return known.where(is_posting(F.col("host"), F.col("path"), F.col("title"), profile)).select(
+        "origin", "feed_rank", "feed_url", "site", "pos", "url", "title", "description", "pub_date", "guid"
     )
 
 
-def _named(columns: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
-
-
 def first_feeds(candidates: DataFrame) -> DataFrame:
     """The first feed of each origin that has any candidate: a map-side minimum over two small columns."""
     return candidates.groupBy("origin").agg(F.min("feed_rank").alias("feed_rank"))
@@ -76,8 +80,8 @@ def feed_jobs(hubs: DataFrame, pages: DataFrame, profile: SiteProfile) -> DataFr
     rows = items.join(chosen, ["origin", "feed_rank"])
     return rows.select(
         seq(FEED_PASS, F.col("link_seq"), F.col("pos")).alias("seq"),
-        netloc(F.col("feed_url")).alias("source_site"),
-        F.col("link").alias("application_url"),
+        F.col("site").alias("source_site"),
+        F.col("url").alias("application_url"),
         or_default(F.col("title"), "Untitled").alias("job_title"),
         F.col("description").alias("job_description"),
         metadata(
@@ -94,11 +98,12 @@ def mined_links(sites: DataFrame, pages: DataFrame, profile: SiteProfile) -> Dat
 
     Returns (url, site, pos), each link at its first place: by site in text order, then by place in the feed.
     """
-    feeds = _feeds(pages, "feed_links", profile.crawl_feed_paths).where(F.size("feed_links") > 0)
-    by_origin = sites.groupBy(origin(F.col("url")).alias("origin")).agg(F.min("url").alias("site"))
+    feeds = feeds_with(pages, "feed_links", profile.crawl_feed_paths).where(F.size("feed_links") > 0)
+    site_origin = origin(UrlParts.columns("site_")).alias("origin")
+    by_origin = split_url(sites.select("url"), "url", "site_").groupBy(site_origin).agg(F.min("url").alias("site"))
     chosen = by_origin.join(first_feeds(feeds), "origin")
     links = (
-        feeds.join(chosen, ["origin", "feed_rank"])
+        feeds.drop("site").join(chosen, ["origin", "feed_rank"])
         .select("site", F.posexplode("feed_links").alias("pos", "link"))
         .select(strip(F.col("link")).alias("url"), F.struct("site", "pos").alias("place"))
         .where(F.lower("url").contains(profile.vendor_token))

@@ -5,17 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancyflow.functions.predicates import has_barred_url, is_acceptable
+from vacancyflow.functions.once import once
+from vacancyflow.functions.predicates import SIGN_IN_SIZES, has_barred_url, is_login_wall, is_posting
+from vacancyflow.functions.text import strip
+from vacancyflow.functions.urls import UrlParts, host, lower_path
 from vacancyflow.operators.schema import JOB_COLUMNS, JOB_KEY, JOB_PAYLOAD, METADATA_FIELDS
 from vacancyflow.profile import SiteProfile
 
 
-def _acceptable(profile: SiteProfile):
-    return is_acceptable(F.col("application_url"), F.col("job_title"), F.col("job_description"), profile)
+def with_acceptance(rows: DataFrame, profile: SiteProfile) -> DataFrame:
+    """Adds `acceptable`: whether the row may enter the result as a job of its own."""
+    link = F.coalesce("application_url", F.lit(""))
+    text = once(
+        rows,
+        **UrlParts.split(link).named("link_"),
+        plain=strip(F.coalesce("job_description", F.lit(""))),
+    )
+    parts = UrlParts.columns("link_")
+    known = once(
+        text,
+        host=host(parts),
+        path=lower_path(parts),
+        head=F.lower(F.left("plain", F.lit(max(SIGN_IN_SIZES)))),
+        size=F.length("plain"),
+    )
+    vendor_page = F.col("host").isin(*profile.vendor_apex_hosts)
+    rejected = (
+        has_barred_url(link, profile)
+        | is_login_wall(F.col("head"), F.col("size"))
+        | (vendor_page & ~is_posting(F.col("host"), F.col("path"), F.col("job_title"), profile))
+    )
+    return known.select(*rows.columns, (~rejected).alias("acceptable"))
 
 
 def accepted(rows: DataFrame, profile: SiteProfile) -> DataFrame:
-    return rows.where(_acceptable(profile))
+    return with_acceptance(rows, profile).where("acceptable").drop("acceptable")
 
 
 def first_wins(rows: DataFrame) -> DataFrame:
@@ -39,11 +63,12 @@ def merge_enrichment(jobs: DataFrame, enriched: DataFrame, profile: SiteProfile)
     Only a rejected enrichment row has to be compared with its job's place, so only those are joined; the
     merge itself is one aggregate that reduces hot keys before the shuffle.
     """
-    good = accepted(enriched, profile)
+    judged = with_acceptance(enriched, profile)
+    good = judged.where("acceptable")
     candidates = jobs.select(*JOB_COLUMNS).unionByName(good.select(*JOB_COLUMNS))
     inserted = candidates.groupBy(*JOB_KEY).agg(F.min("seq").alias("job_seq"))
     # A barred URL bars every row of its key, so no such key has a job to merge into.
-    rejected = enriched.where(~_acceptable(profile)).where(~has_barred_url(F.col("application_url"), profile))
+    rejected = judged.where("not acceptable").where(~has_barred_url(F.col("application_url"), profile))
     late = rejected.join(inserted, list(JOB_KEY)).where("seq > job_seq").select(*JOB_COLUMNS)
     return _merge(candidates.unionByName(late))
 

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacancyflow.functions.once import once
 from vacancyflow.functions.predicates import is_hub, is_job_page, is_listing
-from vacancyflow.functions.urls import origin
+from vacancyflow.functions.urls import UrlParts, bare_path, origin, split_url
 from vacancyflow.profile import SiteProfile
 
 
 def classify(links: DataFrame, profile: SiteProfile) -> DataFrame:
     """Adds three independent flags; a link may have several of them, or none."""
-    url = F.col("url")
-    return links.withColumns(
-        {
-            "is_hub": is_hub(url, profile),
-            "is_job_page": is_job_page(url, profile),
-            "is_listing": is_listing(url, profile),
-        }
+    path = F.col("path")
+    return once(links, path=bare_path(UrlParts.split(F.col("url")))).select(
+        *links.columns,
+        is_hub(path, profile).alias("is_hub"),
+        is_job_page(path, profile).alias("is_job_page"),
+        is_listing(path, profile).alias("is_listing"),
     )
 
 
@@ -35,8 +35,5 @@ def pages_to_read(classes: DataFrame, limit: int | None) -> DataFrame:
 
 def hub_origins(classes: DataFrame) -> DataFrame:
     """Feeds depend on a hub's origin only: (origin, link_seq of its first hub)."""
-    return (
-        classes.where("is_hub")
-        .groupBy(origin(F.col("url")).alias("origin"))
-        .agg(F.min("link_seq").alias("link_seq"))
-    )
+    hubs = split_url(classes.where("is_hub"), "url", "hub_")
+    return hubs.groupBy(origin(UrlParts.columns("hub_")).alias("origin")).agg(F.min("link_seq").alias("link_seq"))

@@ -5,28 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacancyflow.functions.text import cap, or_default
+from vacancyflow.functions.once import once
+from vacancyflow.functions.text import cap, or_default, strip
 from vacancyflow.functions.urls import (
     has_digit_segment,
+    UrlParts,
     host,
     is_unreadable,
     last_segment,
+    lower_path,
+    own_path,
     resolve,
-    url_parts,
+    slash_count,
+    split_url,
+    without_end_slashes,
 )
 from vacancyflow.profile import SiteProfile
 
 _ANCHOR, _CARD, _PAGE_ITSELF = 0, 1, 2
 
 
-def _slashes(path: Column) -> Column:
-    return F.regexp_count(path, F.lit("/"))
-
-
-def _bare(url: Column) -> Column:
-    return F.regexp_replace(url, "/+$", "")
-
-
 def is_sign_in(path: Column, profile: SiteProfile) -> Column:
     return path.contains(profile.login_path) | last_segment(path).contains(profile.login_path.strip("/"))
 
@@ -41,7 +39,7 @@ def is_search_form(path: Column, query: Column, profile: SiteProfile) -> Column:
 
 def names_a_job(path: Column, query: Column, profile: SiteProfile) -> Column:
     """The link says by its words that it leads to a job."""
-    deep = _slashes(path) >= 3
+    deep = slash_count(path) >= 3
     return (
         path.contains(profile.detail_word)
         | query.contains("jobid")
@@ -50,44 +48,41 @@ def names_a_job(path: Column, query: Column, profile: SiteProfile) -> Column:
     )
 
 
-def lies_below(path: Column, listing_url: Column, profile: SiteProfile) -> Column:
+def lies_below(path: Column, base: Column, profile: SiteProfile) -> Column:
     """The link lies deeper than the listing: something numeric, or several segments, follows.
 
-    Kept as defined: the listing's path keeps its case and is cut at the listing word only in lower case,
-    while what follows is measured from the length of the uncut path.
+    Kept as defined: `base`, the listing's path, keeps its case and is cut at the listing word only in lower
+    case, while what follows is measured from the length of the uncut path.
     """
-    base = _bare(url_parts(listing_url).path)
     before_word = F.substring_index(base, profile.listing_word, 1)
     prefix = F.lower(F.when(before_word == "", base).otherwise(before_word))
-    extra = F.regexp_replace(F.substr(path, F.length(base) + 1), "^/+|/+$", "")
+    extra = F.trim(F.substr(path, F.length(base) + 1), F.lit("/"))
     return (path != base) & path.startswith(prefix) & (extra.rlike(r"^\d+$") | extra.contains("/"))
 
 
-def anchor_counts(listing_url: Column, job_url: Column, profile: SiteProfile) -> Column:
+def anchor_counts(profile: SiteProfile) -> Column:
     """Whether a plain link of a listing is a job link."""
-    parts = url_parts(job_url)
-    path, query = F.lower(parts.path), F.lower(parts.query)
+    path, query = F.col("path"), F.col("query")
     return (
-        (F.lower(parts.netloc) == host(listing_url))
+        F.col("same_host")
         & ~is_sign_in(path, profile)
-        & (_bare(job_url) != _bare(listing_url))
+        & (without_end_slashes(F.col("job_url")) != without_end_slashes(F.col("url")))
         & ~is_search_form(path, query, profile)
-        & (names_a_job(path, query, profile) | lies_below(path, listing_url, profile))
+        & (names_a_job(path, query, profile) | lies_below(path, F.col("base"), profile))
     )
 
 
-def card_counts(listing_url: Column, job_url: Column, profile: SiteProfile) -> Column:
+def card_counts(profile: SiteProfile) -> Column:
     """Whether the link of a job-like block is a job link."""
-    parts = url_parts(job_url)
-    path = F.lower(parts.path)
-    named = path.contains(profile.detail_word) | (path.contains(profile.listing_word) & (_slashes(path) >= 3))
-    return (F.lower(parts.netloc) == host(listing_url)) & named
+    path = F.col("path")
+    named = path.contains(profile.detail_word) | (path.contains(profile.listing_word) & (slash_count(path) >= 3))
+    return F.col("same_host") & named
 
 
 def readable_listings(listings: DataFrame) -> DataFrame:
     """A listing with a link that cannot be taken apart gives nothing at all."""
-    anchors = F.col("nodes.anchors")
-    return listings.where(F.col("nodes").isNotNull() & ~F.exists(anchors, lambda a: is_unreadable(a["href"])))
+    flat = listings.where(F.col("nodes").isNotNull()).select("*", "nodes.anchors", "nodes.cards").drop("nodes")
+    return flat.where(~F.exists("anchors", lambda a: is_unreadable(a["href"])))
 
 
 def _tagged(kind: int, links: str) -> Column:
@@ -113,23 +108,30 @@ def listing_links(
     All windows are partitioned by the listing, that is by the links of one page, and share one shuffle,
     which a preceding join on url already provides.
     """
-    url, job_url, kind = F.col("url"), F.col("job_url"), F.col("kind")
+    url, kind, href = F.col("url"), F.col("kind"), F.col("href")
     carried = [name for name in listings.columns if name not in ("url", "nodes")]
-    in_line = [_tagged(_ANCHOR, "nodes.anchors"), _tagged(_CARD, "nodes.cards")]
+    in_line = [_tagged(_ANCHOR, "anchors"), _tagged(_CARD, "cards")]
     if or_page_itself:
         in_line.append(_page_itself())
-    is_job_link = (
-        F.when(kind == _ANCHOR, anchor_counts(url, job_url, profile))
-        .when(kind == _CARD, card_counts(url, job_url, profile))
-        .otherwise(True)
+    page, link, job = (UrlParts.columns(prefix) for prefix in ("page_", "link_", "job_"))
+    rows = (
+        split_url(readable_listings(listings), "url", "page_")
+        .select("*", F.posexplode(F.concat(*in_line)).alias("pos", "found"))
+        .select("*", "found.*")
+        .drop("anchors", "cards", "found")
+        .where((kind != _ANCHOR) | (strip(href) != ""))
+    )
+    split = split_url(rows, "href", "link_")
+    resolved = once(split, job_url=F.when(kind == _PAGE_ITSELF, url).otherwise(resolve(url, page, href, link)))
+    known = once(
+        split_url(resolved, "job_url", "job_"),
+        same_host=host(job) == host(page),
+        path=lower_path(job),
+        query=F.lower(job.query),
+        base=without_end_slashes(own_path(page)),
     )
-    candidates = (
-        readable_listings(listings)
-        .select(*carried, "url", F.posexplode(F.concat(*in_line)).alias("pos", "link"))
-        .select(*carried, "url", "pos", "link.kind", "link.href", "link.text")
-        .where((kind != _ANCHOR) | F.col("href").rlike(r"(?U)[^\s\x1c-\x1f]"))
-        .withColumn("job_url", F.when(kind == _PAGE_ITSELF, url).otherwise(resolve(url, F.col("href"))))
-        .where(is_job_link)
+    candidates = known.where(
+        F.when(kind == _ANCHOR, anchor_counts(profile)).when(kind == _CARD, card_counts(profile)).otherwise(True)
     )
     title = or_default(F.col("text"), "Job")
     by_listing = Window.partitionBy("url")

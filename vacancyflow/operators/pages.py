@@ -1,44 +1,44 @@
-"""One job row per page, chosen from the page's nodes; no shuffle anywhere here."""
+"""One job row per page, chosen from the page's nodes; no shuffle anywhere here.
+
+The choosing Columns are over the fields of `nodes`, taken out as columns of their own.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacancyflow.functions.once import once
 from vacancyflow.functions.text import cap, none_if_blank, or_default
-from vacancyflow.functions.urls import is_unreadable, netloc, resolve
+from vacancyflow.functions.urls import UrlParts, is_unreadable, resolve, split_url
 from vacancyflow.operators.schema import metadata
 from vacancyflow.profile import SiteProfile
 
 
-def page_title(nodes: Column) -> Column:
+def page_title() -> Column:
     """Text of the first selector that matches, even if blank; then the title tag; then empty."""
-    return F.coalesce(none_if_blank(F.get(nodes["titles"], 0)), nodes["title_tag"], F.lit(""))
+    return F.coalesce(none_if_blank(F.get("titles", 0)), "title_tag", F.lit(""))
 
 
-def page_description(nodes: Column, profile: SiteProfile) -> Column:
+def page_description(profile: SiteProfile) -> Column:
     """The first long text, else the last match's text, else the head of the body's text."""
-    long_ones = F.filter(nodes["descriptions"], lambda text: F.length(text) > profile.long_description)
-    last = none_if_blank(F.try_element_at(nodes["descriptions"], F.lit(-1)))
-    return F.coalesce(F.get(long_ones, 0), last, cap(nodes["body_text"], profile.body_text_cap), F.lit(""))
+    long_ones = F.filter("descriptions", lambda text: F.length(text) > profile.long_description)
+    last = none_if_blank(F.try_element_at("descriptions", F.lit(-1)))
+    return F.coalesce(F.get(long_ones, 0), last, cap(F.col("body_text"), profile.body_text_cap), F.lit(""))
 
 
-def apply_href(nodes: Column) -> Column:
+def apply_href() -> Column:
     """First filled link among the first matches of the apply selectors; null if there is none."""
-    return F.get(F.filter(nodes["apply_hrefs"], lambda href: href != ""), 0)
-
+    return F.get(F.filter("apply_hrefs", lambda href: href != ""), 0)
 
-def page_apply_url(url: Column, href: Column) -> Column:
-    return F.coalesce(resolve(url, href), url)
 
-
-def page_metadata(nodes: Column, about_location: bool) -> Column:
+def page_metadata(about_location: bool) -> Column:
     """Text of the last match about the place, or of the last one not about it; null if there is none."""
 
     def is_location(match: Column) -> Column:
         return F.lower(match["selector"]).contains("location") | match["classes"].contains("location")
 
-    kept = F.filter(nodes["metadata"], lambda match: is_location(match) == F.lit(about_location))
+    kept = F.filter("metadata", lambda match: is_location(match) == F.lit(about_location))
     return F.try_element_at(kept, F.lit(-1))["text"]
 
 
@@ -47,32 +47,33 @@ def page_jobs(pages: DataFrame, profile: SiteProfile) -> DataFrame:
 
     Further columns of `pages` are passed through.
     """
-    url, nodes = F.col("url"), F.col("nodes")
+    url = F.col("url")
     carried = [name for name in pages.columns if name not in ("url", "nodes")]
-    href = F.col("apply_href")
-    return (
-        pages.where(nodes.isNotNull())
-        .select(
-            *carried,
-            "url",
-            page_title(nodes).alias("title"),
-            page_description(nodes, profile).alias("job_description"),
-            apply_href(nodes).alias("apply_href"),
-            metadata(
-                date_posted=page_metadata(nodes, about_location=False),
-                location=page_metadata(nodes, about_location=True),
-                source_page=url,
-            ).alias("metadata"),
-        )
-        .where((F.col("title") != "") | (F.col("job_description") != ""))
-        .where(~F.coalesce(is_unreadable(href), F.lit(False)))
-        .select(
-            *carried,
-            netloc(url).alias("source_site"),
-            page_apply_url(url, href).alias("application_url"),
-            or_default(F.col("title"), "Untitled").alias("job_title"),
-            "job_description",
-            "metadata",
-            url.alias("source_url"),
-        )
+    read = once(
+        pages.where(F.col("nodes").isNotNull()).select(*carried, "url", "nodes.*"),
+        title=page_title(),
+        job_description=page_description(profile),
+        apply_href=apply_href(),
+        location=page_metadata(about_location=True),
+        date_posted=page_metadata(about_location=False),
+    )
+    kept = read.where("title <> '' or job_description <> ''").where(
+        ~F.coalesce(is_unreadable(F.col("apply_href")), F.lit(False))
     )
+    return with_apply_url(kept).select(
+        *carried,
+        F.col("page_netloc").alias("source_site"),
+        "application_url",
+        or_default(F.col("title"), "Untitled").alias("job_title"),
+        "job_description",
+        metadata(date_posted=F.col("date_posted"), location=F.col("location"), source_page=url).alias("metadata"),
+        url.alias("source_url"),
+    )
+
+
+def with_apply_url(rows: DataFrame) -> DataFrame:
+    """Adds the URL's parts with page_ and the application_url: the apply link, or the page without one."""
+    url, href = F.col("url"), F.col("apply_href")
+    split = split_url(split_url(rows, "url", "page_"), "apply_href", "apply_")
+    found = resolve(url, UrlParts.columns("page_"), href, UrlParts.columns("apply_"))
+    return once(split, application_url=F.coalesce(found, url))

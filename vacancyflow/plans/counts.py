@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacancyflow.functions.urls import UrlParts, origin, split_url
 from vacancyflow.operators.feeds import posting_items
 from vacancyflow.operators.links import classify
-from vacancyflow.functions.urls import origin
 from vacancyflow.profile import DEFAULT_PROFILE, SiteProfile
 
 
@@ -26,5 +26,7 @@ def feed_counts(links: DataFrame, pages: DataFrame, profile: SiteProfile = DEFAU
     """(url, n): items that the feed of each hub contributes; hubs without any are left out."""
     per_feed = posting_items(pages, profile).groupBy("origin", "feed_rank").agg(F.count("*").alias("n"))
     per_origin = per_feed.groupBy("origin").agg(F.min_by("n", "feed_rank").alias("n"))
-    hubs = classify(links, profile).where("is_hub").select(origin(F.col("url")).alias("origin"), "url")
+    hubs = split_url(classify(links, profile).where("is_hub"), "url", "hub_").select(
+        origin(UrlParts.columns("hub_")).alias("origin"), "url"
+    )
     return hubs.join(per_origin, "origin").select("url", "n")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vacancyflow.functions.text import strip
-from vacancyflow.functions.urls import netloc, origin
+from vacancyflow.functions.urls import UrlParts, origin, split_url
 from vacancyflow.profile import SiteProfile
 
 
@@ -33,13 +33,14 @@ def search_bases(results: DataFrame, profile: SiteProfile) -> DataFrame:
     cap per query however many results a query has.
     """
     by_rank = Window.partitionBy("query").orderBy("rank")
-    href = F.col("href")
+    ranked = results.where(F.col("query").isin(*profile.search_queries)).withColumn(
+        "place", F.row_number().over(by_rank)
+    )
+    found = ranked.where(F.col("place") <= profile.search_results_per_query).where("href <> ''")
     return (
-        results.where(F.col("query").isin(*profile.search_queries))
-        .withColumn("place", F.row_number().over(by_rank))
-        .where(F.col("place") <= profile.search_results_per_query)
-        .where((F.coalesce(href, F.lit("")) != "") & (netloc(href) != ""))
-        .select(origin(href).alias("base"))
+        split_url(found, "href", "href_")
+        .where("href_netloc <> ''")
+        .select(origin(UrlParts.columns("href_")).alias("base"))
         .where(F.lower("base").contains(profile.vendor_token))
         .distinct()
     )

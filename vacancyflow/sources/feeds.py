@@ -2,32 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacancyflow.functions.once import once
 from vacancyflow.functions.text import strip
 from vacancyflow.profile import SiteProfile
 
 # Every field is a list: with several elements of one name, or one name in several namespaces, the
 # first in document order counts.
-_ITEM = "struct<title:array<string>,link:array<string>,description:array<string>,pubDate:array<string>,guid:array<string>>"
+_ITEM = (
+    "struct<title:array<string>,link:array<string>,description:array<string>,"
+    "pubDate:array<string>,guid:array<string>>"
+)
 _DOCUMENT = f"struct<channel:struct<item:array<{_ITEM}>>,item:array<{_ITEM}>,broken:string>"
 _OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
 _ITEM_BLOCK = r"(?s)<(?:[\w.\-]+:)?item(?:\s[^>]*)?>.*?</(?:[\w.\-]+:)?item\s*>"
 
 
-def feed_items(body: Column) -> Column:
-    """Items of an RSS or RDF document; none when the XML is malformed.
+def with_feed_items(rows: DataFrame, body: Column) -> DataFrame:
+    """Adds `feed_items`: the items of an RSS or RDF document, none when the XML is malformed.
 
     Items stand in the channel or under the root. Where a well-formed document has them elsewhere, its
-    item blocks are cut out and read as one flat document.
+    item blocks are cut out and read as one flat document. Null bodies cost nothing and give null.
     """
-    document = F.from_xml(body, _DOCUMENT, _OPTIONS)
-    usual = _items_of(document)
+    document, flat_document = F.col("feed_document"), F.col("flat_document")
+    is_sound = body.isNotNull() & document["broken"].isNull()
     blocks = F.array_join(F.regexp_extract_all(body, F.lit(_ITEM_BLOCK), 0), "")
-    elsewhere = _items_of(F.from_xml(F.concat(F.lit("<items>"), blocks, F.lit("</items>")), _DOCUMENT, _OPTIONS))
-    is_sound = document["broken"].isNull() & body.isNotNull()
-    return F.when(is_sound & (F.size(usual) == 0), elsewhere).when(is_sound, usual)
+    flat = F.when(F.size("usual_items") == 0, F.concat(F.lit("<items>"), blocks, F.lit("</items>")))
+    found = (
+        rows.select("*", F.from_xml(body, _DOCUMENT, _OPTIONS).alias("feed_document"))
+        .select(*rows.columns, F.when(is_sound, _items_of(document)).alias("usual_items"))
+        .select("*", F.from_xml(flat, _DOCUMENT, _OPTIONS).alias("flat_document"))
+        .select(
+            *rows.columns,
+            "usual_items",
+            F.when(flat_document.isNotNull(), _items_of(flat_document)).alias("flat_items"),
+        )
+    )
+    return once(found, feed_items=F.coalesce("flat_items", "usual_items")).drop("usual_items", "flat_items")
 
 
 def _items_of(document: Column) -> Column:
@@ -35,21 +48,28 @@ def _items_of(document: Column) -> Column:
     return F.concat(F.coalesce(document["channel"]["item"], none), F.coalesce(document["item"], none))
 
 
-def item_fields(item: Column) -> dict[str, Column]:
-    """Title, link, description, pub_date and guid of an item; missing ones are empty."""
+def with_item_fields(items: DataFrame) -> DataFrame:
+    """Replaces the fields of exploded items by title, link, description, pub_date and guid texts.
+
+    A missing field is empty.
+    """
+    lists = ("title", "link", "description", "pubDate", "guid")
 
     def first(name: str) -> Column:
-        return strip(F.coalesce(F.get(item[name], 0), F.lit("")))
+        return strip(F.coalesce(F.get(name, 0), F.lit("")))
 
     # A link element may come as an empty one of another namespace first.
-    filled_link = F.get(F.filter(item["link"], lambda link: link != ""), 0)
-    return {
-        "title": first("title"),
-        "link": strip(F.coalesce(filled_link, F.lit(""))),
-        "description": first("description"),
-        "pub_date": first("pubDate"),
-        "guid": first("guid"),
+    filled_link = F.get(F.filter("link", lambda link: link != ""), 0)
+    texts = {
+        "title_text": first("title"),
+        "link_text": strip(F.coalesce(filled_link, F.lit(""))),
+        "description_text": first("description"),
+        "pub_date_text": first("pubDate"),
+        "guid_text": first("guid"),
     }
+    others = [name for name in items.columns if name not in lists]
+    named = [F.col(name).alias(name.removesuffix("_text")) for name in texts]
+    return once(items, **texts).select(*others, *named)
 
 
 def feed_links(body: Column, profile: SiteProfile) -> Column:

@@ -6,13 +6,14 @@ a shuffle: what leaves the scan is the found nodes of a page and the items and l
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacancyflow.functions.once import once
 from vacancyflow.functions.predicates import is_job_page, is_listing
-from vacancyflow.functions.urls import feed_rank
+from vacancyflow.functions.urls import UrlParts, bare_path, feed_rank, split_url
 from vacancyflow.profile import SiteProfile
-from vacancyflow.sources.feeds import feed_items, feed_links
+from vacancyflow.sources.feeds import feed_links, with_feed_items
 from vacancyflow.sources.html import page_nodes_udf
 
 
@@ -23,7 +24,7 @@ def answered(fetched: DataFrame) -> DataFrame:
 
 def page_nodes(fetched: DataFrame, profile: SiteProfile) -> DataFrame:
     """(url, nodes) of every answered page."""
-    return answered(fetched).select("url", _nodes(profile).alias("nodes"))
+    return _with_nodes(_split(fetched), profile).select("url", "nodes")
 
 
 def read_pages(fetched: DataFrame, profile: SiteProfile) -> DataFrame:
@@ -31,20 +32,20 @@ def read_pages(fetched: DataFrame, profile: SiteProfile) -> DataFrame:
 
     Feed columns are null for URLs that are no feed address.
     """
-    is_feed = feed_rank(F.col("url"), _all_feed_paths(profile)) > 0
-    feed_body = F.when(is_feed, F.col("body"))
-    return answered(fetched).select(
-        "url",
-        _nodes(profile).alias("nodes"),
-        feed_items(feed_body).alias("feed_items"),
-        F.when(is_feed, feed_links(F.col("body"), profile)).alias("feed_links"),
-    )
+    paths = tuple(dict.fromkeys((*profile.job_feed_paths, *profile.crawl_feed_paths)))
+    is_feed = feed_rank(F.col("url"), UrlParts.columns("url_"), paths) > 0
+    bodies = once(_split(fetched), feed_body=F.when(is_feed, F.col("body")))
+    with_items = with_feed_items(bodies, F.col("feed_body"))
+    with_links = once(with_items, feed_links=feed_links(F.col("feed_body"), profile)).drop("feed_body")
+    return _with_nodes(with_links, profile).select("url", "nodes", "feed_items", "feed_links")
 
 
-def _nodes(profile: SiteProfile) -> Column:
-    url = F.col("url")
-    return page_nodes_udf(profile)(F.col("body"), is_job_page(url, profile) & is_listing(url, profile))
+def _split(fetched: DataFrame) -> DataFrame:
+    return split_url(answered(fetched).select("url", "body"), "url", "url_")
 
 
-def _all_feed_paths(profile: SiteProfile) -> tuple[str, ...]:
-    return tuple(dict.fromkeys((*profile.job_feed_paths, *profile.crawl_feed_paths)))
+def _with_nodes(rows: DataFrame, profile: SiteProfile) -> DataFrame:
+    """Links are only listed for pages that may be read as listings."""
+    path = bare_path(UrlParts.columns("url_"))
+    want_links = is_job_page(path, profile) & is_listing(path, profile)
+    return rows.select("*", page_nodes_udf(profile)(F.col("body"), want_links).alias("nodes"))

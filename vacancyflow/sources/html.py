@@ -356,4 +356,6 @@ def page_nodes_udf(profile: SiteProfile) -> Callable[[Column, Column], Column]:
         )
         return pa.array(rows, type=_NODES)
 
-    return nodes
+    # Declared nondeterministic so that no filter on the nodes is pushed below the reading, which would
+    # read every page twice.
+    return nodes.asNondeterministic()
