@@ -155,6 +155,14 @@ from {pages}
 """
 )
 
+# Every page URL as a base with one of the forms a link can have.
+HREFS = """
+select page_id, url, case page_id % 12 when 0 then '/p' when 1 then 'x/y' when 2 then '../up' when 3 then './here'
+    when 4 then '?q=1' when 5 then '#frag' when 6 then '//other.example.org' when 7 then 'https://abs.example.org/a/../b'
+    when 8 then 'mailto:a@b' when 9 then '/a/./b/../c' when 10 then ' /sp?#' else '' end as href
+from {pages}
+"""
+
 # Rows for the acceptance rules, around the limits of the sign-in rules.
 ACCEPTANCE_ROWS = _vendor(
     """

@@ -119,16 +119,11 @@ def url_segments(spark, folder):
 
 @query
 def url_resolve(spark, folder):
-    anchors = (
-        Tables(spark, folder)
-        .nodes("select concat(url, '/careers/SearchJobs') as url, 200 as status, html as body from {pages}")
-        .select("url", F.posexplode("nodes.anchors").alias("pos", "anchor"))
-        .select("url", "pos", "anchor.href")
-    )
-    split = urls.split_url(urls.split_url(anchors, "url", "page_"), "href", "link_")
+    rows = Tables(spark, folder).fixture(fixtures.HREFS)
+    split = urls.split_url(urls.split_url(rows, "url", "page_"), "href", "link_")
     page, link = urls.UrlParts.columns("page_"), urls.UrlParts.columns("link_")
     full_url = urls.resolve(F.col("url"), page, F.col("href"), link)
-    return split.select("url", "pos", full_url.alias("full_url"))
+    return split.select("page_id", full_url.alias("full_url"))
 
 
 # Discovery --------------------------------------------------------------------
