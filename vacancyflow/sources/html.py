@@ -12,9 +12,10 @@ import html
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html.entities import html5
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -78,39 +79,47 @@ class _Step:
             return False
         if self.classes and not set(self.classes) <= set(attrs.get("class", "").split()):
             return False
-        return all(self._attr_fits(attrs, *condition) for condition in self.attrs)
-
-    @staticmethod
-    def _attr_fits(attrs: dict[str, str], name: str, op: str, wanted: str) -> bool:
-        value = attrs.get(name)
-        if value is None:
-            return False
-        if name == "class":
-            value = " ".join(value.split())
-        return {"": True, "=": value == wanted, "*=": wanted in value, "^=": value.startswith(wanted)}[op]
+        for name, op, wanted in self.attrs:
+            value = attrs.get(name)
+            if value is None:
+                return False
+            if op:
+                if name == "class":
+                    value = " ".join(value.split())
+                if op == "*=" and wanted not in value:
+                    return False
+                if op == "^=" and not value.startswith(wanted):
+                    return False
+                if op == "=" and value != wanted:
+                    return False
+        return True
 
 
 @dataclass(frozen=True)
 class _Selector:
-    """Descendant selector; `index` says under which tag, class or attribute to look it up."""
+    """Descendant selector, split into the element it selects and the steps outside of it, inmost first."""
 
-    group: str
-    rank: int
-    text: str
-    steps: tuple[_Step, ...]
+    place: tuple[str, int]
+    own: _Step
+    outer: tuple[_Step, ...]
+
+    @classmethod
+    def of(cls, group: str, rank: int, text: str) -> _Selector:
+        *outer, own = (_Step.of(step) for step in text.split())
+        return cls((group, rank), own, tuple(reversed(outer)))
 
     @property
-    def index(self) -> tuple[str, str]:
-        step = self.steps[-1]
-        if step.tag:
-            return "tag", step.tag
-        return ("class", step.classes[0]) if step.classes else ("attr", step.attrs[0][0])
+    def key(self) -> str:
+        """The tag, .class or [attribute] that an element must have to be worth a closer look."""
+        if self.own.tag:
+            return self.own.tag
+        return f".{self.own.classes[0]}" if self.own.classes else f"[{self.own.attrs[0][0]}"
 
     def fits(self, tag: str, attrs: dict[str, str], open_tags: list[_Open]) -> bool:
-        if not self.steps[-1].fits(tag, attrs):
+        if not self.own.fits(tag, attrs):
             return False
-        outer = iter(reversed(open_tags))
-        return all(any(step.fits(o.tag, o.attrs) for o in outer) for step in reversed(self.steps[:-1]))
+        around = reversed(open_tags)
+        return all(any(step.fits(o.tag, o.attrs) for o in around) for step in self.outer)
 
 
 @dataclass(slots=True)
@@ -125,14 +134,16 @@ class _Found:
     anchors_to: int = 0
 
 
-@dataclass(slots=True)
-class _Open:
+class _Open(NamedTuple):
     tag: str
     attrs: dict[str, str]
-    found: list[_Found] = field(default_factory=list)
+    found: _Found | None
+
+
+_NO_ATTRS: dict[str, str] = {}
 
 
-def _selectors_by_index(profile: SiteProfile) -> dict[tuple[str, str], list[_Selector]]:
+def _selectors_by_key(profile: SiteProfile) -> dict[str, tuple[_Selector, ...]]:
     groups = {
         "title": profile.title_selectors,
         "description": profile.description_selectors,
@@ -142,18 +153,18 @@ def _selectors_by_index(profile: SiteProfile) -> dict[tuple[str, str], list[_Sel
         "title_tag": ("title",),
         "body": ("body",),
     }
-    by_index = defaultdict(list)
+    by_key = defaultdict(list)
     for group, texts in groups.items():
         for rank, text in enumerate(texts):
-            selector = _Selector(group, rank, text, tuple(_Step.of(part) for part in text.split()))
-            by_index[selector.index].append(selector)
-    return dict(by_index)
+            selector = _Selector.of(group, rank, text)
+            by_key[selector.key].append(selector)
+    return {key: tuple(selectors) for key, selectors in by_key.items()}
 
 
 class _PageReader(HTMLParser):
-    def __init__(self, by_index: dict[tuple[str, str], list[_Selector]], want_links: bool) -> None:
+    def __init__(self, by_key: dict[str, tuple[_Selector, ...]], want_links: bool) -> None:
         super().__init__(convert_charrefs=False)
-        self.by_index = by_index
+        self.by_key = by_key
         self.want_links = want_links
         self.first: dict[tuple[str, int], _Found] = {}
         self.cards: list[_Found] = []
@@ -233,48 +244,53 @@ class _PageReader(HTMLParser):
             self.close_innermost()
 
     def open(self, tag: str, attr_list: list[tuple[str, str | None]]) -> None:
-        attrs = {name: value or "" for name, value in attr_list}
-        kind = tag if tag in _OWN_TEXT else self.kinds[-1]
-        opened = _Open(tag, attrs)
-        wanted = tag if tag in _OWN_TEXT else ""
-
-        def found() -> _Found:
-            hit = _Found(attrs, wanted, len(self.pieces[wanted]), anchors_from=len(self.anchors))
-            opened.found.append(hit)
-            return hit
-
-        keys = [("tag", tag)]
-        if attrs:
-            keys += [("class", name) for name in dict.fromkeys(attrs.get("class", "").split())]
-            keys += [("attr", name) for name in attrs]
+        attrs = {name: value or "" for name, value in attr_list} if attr_list else _NO_ATTRS
+        found = self.select(tag, attrs)
         if self.title_at is not None:
             self.title_inner_tags += 1
-        is_card = False
-        for key in keys:
-            for selector in self.by_index.get(key, ()):
-                place = (selector.group, selector.rank)
-                if selector.group == "card":
-                    is_card = is_card or (self.want_links and selector.fits(tag, attrs, self.open_tags))
-                elif place not in self.first and selector.fits(tag, attrs, self.open_tags):
-                    self.first[place] = found()
-                    if selector.group == "title_tag":
-                        self.title_at = len(self.open_tags)
-        if self.want_links and tag == "a" and "href" in attrs:
-            self.anchors.append(found())
-        if is_card:
-            self.cards.append(found())
-            self.cards[-1].anchors_from = len(self.anchors)
-        self.open_tags.append(opened)
+        elif found and self.first.get(("title_tag", 0)) is found:
+            self.title_at = len(self.open_tags)
+        self.open_tags.append(_Open(tag, attrs, found))
         self.open_count[tag] += 1
         if tag in _OWN_TEXT:
-            self.kinds.append(kind)
+            self.kinds.append(tag)
+
+    def select(self, tag: str, attrs: dict[str, str]) -> _Found | None:
+        """What the element is found as: a selector's first match, a link, a card."""
+        candidates = self.by_key.get(tag, ())
+        if attrs:
+            for name in attrs:
+                candidates += self.by_key.get(f"[{name}", ())
+            if "class" in attrs:
+                for name in dict.fromkeys(attrs["class"].split()):
+                    candidates += self.by_key.get(f".{name}", ())
+        is_link = self.want_links and tag == "a" and "href" in attrs
+        if not candidates and not is_link:
+            return None
+        places = [s.place for s in candidates if s.place not in self.first and s.fits(tag, attrs, self.open_tags)]
+        if not places and not is_link:
+            return None
+        kind = tag if tag in _OWN_TEXT else ""
+        hit = _Found(attrs, kind, len(self.pieces[kind]))
+        is_card = False
+        for place in places:
+            if place[0] == "card":
+                is_card = True
+            else:
+                self.first[place] = hit
+        if is_link:
+            self.anchors.append(hit)
+        hit.anchors_from = len(self.anchors)
+        if is_card and self.want_links:
+            self.cards.append(hit)
+        return hit
 
     def close_innermost(self) -> None:
         closed = self.open_tags.pop()
         self.open_count[closed.tag] -= 1
-        for hit in closed.found:
-            hit.end = len(self.pieces[hit.kind])
-            hit.anchors_to = len(self.anchors)
+        if closed.found:
+            closed.found.end = len(self.pieces[closed.found.kind])
+            closed.found.anchors_to = len(self.anchors)
         if closed.tag in _OWN_TEXT:
             self.kinds.pop()
         if self.title_at == len(self.open_tags):
@@ -304,8 +320,8 @@ class _PageReader(HTMLParser):
         return [(text, self.first[group, rank]) for rank, text in enumerate(texts) if (group, rank) in self.first]
 
 
-def _read_page(body: str, want_links: bool, by_index: dict, profile: SiteProfile) -> dict | None:
-    reader = _PageReader(by_index, want_links)
+def _read_page(body: str, want_links: bool, by_key: dict, profile: SiteProfile) -> dict | None:
+    reader = _PageReader(by_key, want_links)
     try:
         reader.feed(body)
         reader.finish()
@@ -346,12 +362,12 @@ def _read_page(body: str, want_links: bool, by_index: dict, profile: SiteProfile
 
 def page_nodes_udf(profile: SiteProfile) -> Callable[[Column, Column], Column]:
     """UDF (body, want_links) -> nodes. Links and cards are listed only where `want_links` is true."""
-    by_index = _selectors_by_index(profile)
+    by_key = _selectors_by_key(profile)
 
     @F.arrow_udf(NODES_TYPE)
     def nodes(bodies: pa.Array, want_links: pa.Array) -> pa.Array:
         rows = (
-            None if body is None else _read_page(body, bool(wanted), by_index, profile)
+            None if body is None else _read_page(body, bool(wanted), by_key, profile)
             for body, wanted in zip(bodies.to_pylist(), want_links.to_pylist(), strict=True)
         )
         return pa.array(rows, type=_NODES)
