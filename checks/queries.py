@@ -13,7 +13,7 @@ from vacancyflow.functions import predicates, text, urls
 from vacancyflow.functions.once import once
 from vacancyflow.operators import feeds, jobs, links, listing, pages, schema
 from vacancyflow.plans import counts, crawl, extract
-from vacancyflow.plans.staging import staged
+from vacancyflow.plans.staging import stage_pages
 from vacancyflow.sinks import files
 from vacancyflow.sources import discovery, fetched
 from vacancyflow.sources import feeds as feed_source
@@ -38,15 +38,22 @@ class Tables:
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def fixture(self, sql: str) -> DataFrame:
+    def spread(self, name: str) -> DataFrame:
+        """The given files are single row groups, so one task each. Where a scan has fewer tasks than there
+        are cores, spread its rows; a table with enough splits stays unshuffled."""
+        rows, cores = self.given(name), self.spark.sparkContext.defaultParallelism
+        return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+    def fixture(self, sql: str, spread: bool = False) -> DataFrame:
         names = [name for name in ("pages", "events", "documents") if f"{{{name}}}" in sql]
-        return self.spark.sql(sql, **{name: self.given(name) for name in names})
+        read = self.spread if spread else self.given
+        return self.spark.sql(sql, **{name: read(name) for name in names})
 
     def read_pages(self) -> DataFrame:
-        return fetched.read_pages(self.fixture(fixtures.FETCHED), PROFILE)
+        return fetched.read_pages(self.fixture(fixtures.FETCHED, spread=True), PROFILE)
 
     def nodes(self, sql: str = fixtures.FETCHED) -> DataFrame:
-        return fetched.page_nodes(self.fixture(sql), PROFILE)
+        return fetched.page_nodes(self.fixture(sql, spread=True), PROFILE)
 
     def classes(self, sql: str = fixtures.LINKS) -> DataFrame:
         return links.classify(self.fixture(sql), PROFILE)
@@ -108,7 +115,7 @@ def url_parts(spark, folder):
 def url_segments(spark, folder):
     path = F.col("path")
     rows = Tables(spark, folder).given("pages").select("page_id", "url")
-    return once(rows, path=urls.bare_path(urls.UrlParts.split(F.col("url")))).select(
+    return once(rows, path=urls.bare_path(urls.UrlParts.split(urls.tidy(F.col("url"))))).select(
         "page_id",
         "path",
         urls.segment_count(path).alias("segments"),
@@ -377,7 +384,7 @@ def listing_fallback(spark, folder):
 def listing_jobs(spark, folder):
     tables = Tables(spark, folder)
     classes = tables.classes().where("is_listing")
-    read = staged(tables.read_pages())
+    read = stage_pages(tables.read_pages())
     targets = extract.detail_targets(classes, read, PROFILE, None)
     return flat_jobs(extract.detail_jobs(targets, read, PROFILE))
 
@@ -426,7 +433,7 @@ def enrich_merge(spark, folder):
 
 
 def _pages_and_classes(tables: Tables) -> tuple[DataFrame, DataFrame]:
-    return staged(tables.read_pages()), tables.classes()
+    return stage_pages(tables.read_pages()), tables.classes()
 
 
 @query
@@ -440,7 +447,7 @@ def enrich_targets(spark, folder):
 @query
 def jobs_all(spark, folder):
     tables = Tables(spark, folder)
-    read = staged(tables.read_pages())
+    read = stage_pages(tables.read_pages())
     found = extract.extract_jobs(tables.fixture(fixtures.LINKS), read, PROFILE, max_job_pages=None)
     return flat_jobs(found, *flat_seq())
 
@@ -449,7 +456,7 @@ def jobs_all(spark, folder):
 def jobs_json(spark, folder):
     tables = Tables(spark, folder)
     classes = tables.classes()
-    found = extract.found_jobs(classes, staged(tables.read_pages()), PROFILE, max_job_pages=None)
+    found = extract.found_jobs(classes, stage_pages(tables.read_pages()), PROFILE, max_job_pages=None)
     return files.job_array_lines(jobs.first_wins(found)).orderBy("part", "seq").select("value")
 
 

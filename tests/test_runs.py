@@ -8,7 +8,7 @@ from vacancyflow import DEFAULT_PROFILE as PROFILE
 from vacancyflow.operators.links import classify
 from vacancyflow.plans.extract import extract_jobs, found_jobs
 from vacancyflow.plans.run import run_all, run_extraction
-from vacancyflow.plans.staging import staged
+from vacancyflow.plans.staging import stage_pages, staged
 from vacancyflow.sinks.files import data_folder
 from vacancyflow.sources.fetched import read_pages
 
@@ -51,7 +51,7 @@ def fetched(spark):
 
 @pytest.fixture(scope="module")
 def pages(fetched):
-    return staged(read_pages(fetched, PROFILE))
+    return stage_pages(read_pages(fetched, PROFILE))
 
 
 def links(spark, *urls):
@@ -144,3 +144,16 @@ def test_staging_refuses_unshared_folders():
 
     with pytest.raises(ValueError, match="checkpoint.dir"):
         staging_folder(Cluster)
+
+
+def test_page_joins_do_not_shuffle_pages(spark, pages):
+    from vacancyflow.plans.extract import enrichment_rows
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        targets = spark.createDataFrame([(SITE, (1, 0, 0, 0))], "url string, seq struct<pass:int,via:int,link:int,pos:int>")
+        plan = enrichment_rows(targets, pages, PROFILE)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(url") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

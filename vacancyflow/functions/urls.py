@@ -38,9 +38,8 @@ class UrlParts:
     fragment: Column
 
     @classmethod
-    def split(cls, url: Column) -> UrlParts:
-        tidy = F.regexp_replace(url, _LEADING_CONTROLS_OR_BREAKS, "")
-        scheme, *others = (F.regexp_extract(tidy, _URL, group) for group in range(1, 6))
+    def split(cls, tidy_url: Column) -> UrlParts:
+        scheme, *others = (F.regexp_extract(tidy_url, _URL, group) for group in range(1, 6))
         return cls(F.lower(scheme), *others)
 
     @classmethod
@@ -51,9 +50,15 @@ class UrlParts:
         return {prefix + part.name: getattr(self, part.name) for part in fields(self)}
 
 
+def tidy(url: Column) -> Column:
+    """Without leading blanks and controls, and without line breaks and tabs anywhere."""
+    return F.regexp_replace(url, _LEADING_CONTROLS_OR_BREAKS, "")
+
+
 def split_url(rows: DataFrame, url: str, prefix: str) -> DataFrame:
     """Adds the parts of the column `url`, each computed once; `UrlParts.columns(prefix)` names them."""
-    return once(rows, **UrlParts.split(F.col(url)).named(prefix))
+    clean = f"{prefix}tidy_url"
+    return once(once(rows, **{clean: tidy(F.col(url))}), **UrlParts.split(F.col(clean)).named(prefix)).drop(clean)
 
 
 def host(parts: UrlParts) -> Column:

@@ -8,22 +8,17 @@ from pyspark.sql import functions as F
 from vacancyflow.functions.once import once
 from vacancyflow.functions.predicates import SIGN_IN_SIZES, has_barred_url, is_login_wall, is_posting
 from vacancyflow.functions.text import strip
-from vacancyflow.functions.urls import UrlParts, host, lower_path
+from vacancyflow.functions.urls import UrlParts, host, lower_path, split_url
 from vacancyflow.operators.schema import JOB_COLUMNS, JOB_KEY, JOB_PAYLOAD, METADATA_FIELDS
 from vacancyflow.profile import SiteProfile
 
 
 def with_acceptance(rows: DataFrame, profile: SiteProfile) -> DataFrame:
     """Adds `acceptable`: whether the row may enter the result as a job of its own."""
-    link = F.coalesce("application_url", F.lit(""))
-    text = once(
-        rows,
-        **UrlParts.split(link).named("link_"),
-        plain=strip(F.coalesce("job_description", F.lit(""))),
-    )
+    text = once(rows, link=F.coalesce("application_url", F.lit("")), plain=strip(F.coalesce("job_description", F.lit(""))))
     parts = UrlParts.columns("link_")
     known = once(
-        text,
+        split_url(text, "link", "link_"),
         host=host(parts),
         path=lower_path(parts),
         head=F.lower(F.left("plain", F.lit(max(SIGN_IN_SIZES)))),
@@ -31,7 +26,7 @@ def with_acceptance(rows: DataFrame, profile: SiteProfile) -> DataFrame:
     )
     vendor_page = F.col("host").isin(*profile.vendor_apex_hosts)
     rejected = (
-        has_barred_url(link, profile)
+        has_barred_url(F.col("link"), profile)
         | is_login_wall(F.col("head"), F.col("size"))
         | (vendor_page & ~is_posting(F.col("host"), F.col("path"), F.col("job_title"), profile))
     )

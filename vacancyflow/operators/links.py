@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from vacancyflow.functions.once import once
 from vacancyflow.functions.predicates import is_hub, is_job_page, is_listing
-from vacancyflow.functions.urls import UrlParts, bare_path, origin, split_url
+from vacancyflow.functions.urls import UrlParts, bare_path, origin, split_url, tidy
 from vacancyflow.profile import SiteProfile
 
 
 def classify(links: DataFrame, profile: SiteProfile) -> DataFrame:
     """Adds three independent flags; a link may have several of them, or none."""
     path = F.col("path")
-    return once(links, path=bare_path(UrlParts.split(F.col("url")))).select(
+    return once(links, path=bare_path(UrlParts.split(tidy(F.col("url"))))).select(
         *links.columns,
         is_hub(path, profile).alias("is_hub"),
         is_job_page(path, profile).alias("is_job_page"),

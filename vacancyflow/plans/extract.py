@@ -94,10 +94,10 @@ def extract_jobs(
     fetch_job_pages: bool = True,
     max_job_pages: int | None = DEFAULT_PROFILE.max_job_pages,
 ) -> DataFrame:
-    """Job rows (JOB_COLUMNS) of `links` (link_seq, url) over staged `pages` (see `read_pages`).
+    """Job rows (JOB_COLUMNS) of `links` (link_seq, url) over `pages` (see `read_pages`).
 
     `max_job_pages` limits the page links and, separately, the enriched links; None lifts both limits.
-    `pages` and the links are read several times: stage them unless they are stored tables.
+    `pages` and the links are read several times: see `stage_pages` and `staged`.
     """
     classes = classify(links, profile)
     jobs = found_jobs(classes, pages, profile, fetch_rss, fetch_job_pages, max_job_pages)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vacancyflow.operators.jobs import with_timestamp
 from vacancyflow.plans.crawl import LINK_ORDER, all_links, career_links
 from vacancyflow.plans.extract import extract_jobs
-from vacancyflow.plans.staging import staged
+from vacancyflow.plans.staging import stage_pages, staged
 from vacancyflow.profile import DEFAULT_PROFILE, SiteProfile
 from vacancyflow.sinks.files import data_folder, write_job_array, write_jobs, write_links
 from vacancyflow.sources.fetched import read_pages
@@ -66,7 +66,7 @@ def run_all(
     max_job_pages: int | None = DEFAULT_PROFILE.max_job_pages,
 ) -> str:
     """Crawl, then extract from the seed files, all links and career links; bodies are scanned once."""
-    pages = staged(read_pages(fetched, profile))
+    pages = stage_pages(read_pages(fetched, profile))
     career, everything = crawl(certificates, results, pages, output_dir, profile)
     link_files = [*seed_files, everything, career]
     output = f"{data_folder(output_dir)}/jobs"

@@ -30,3 +30,19 @@ def staged(rows: DataFrame) -> DataFrame:
     folder = staging_folder(rows.sparkSession)
     rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def stage_pages(pages: DataFrame, table: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Pages written as a table bucketed by url, and read back.
+
+    Listings, job pages and enrichment all join pages on url. Here the nodes are shuffled once, when the
+    table is written with one file per bucket; the three joins then only shuffle their links. The table lies
+    in the staging folder; the catalog gets its name only, under a new one unless `table` is given.
+    Buckets default to the session's shuffle partitions.
+    """
+    spark = pages.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = table or f"vacancyflow_pages_{uuid.uuid4().hex}"
+    writer = pages.repartition(count, "url").write.bucketBy(count, "url").sortBy("url")
+    writer.option("path", staging_folder(spark)).saveAsTable(name)
+    return spark.table(name)
