@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from vacancyflow import DEFAULT_PROFILE as PROFILE
 from vacancyflow.operators import listing, pages
-from vacancyflow.sources.html import _read_page, _selectors_by_key
+from vacancyflow.sources.html import _read_page, _Selectors
 
-BY_KEY = _selectors_by_key(PROFILE)
+SELECTORS = _Selectors(PROFILE)
 
 
 def read(body, want_links=True):
-    return _read_page(body, want_links, BY_KEY, PROFILE)
+    return _read_page(body, want_links, SELECTORS, PROFILE)
 
 
 @pytest.mark.parametrize(
@@ -31,6 +31,8 @@ def read(body, want_links=True):
         ("<div class='Description'>case counts</div>", []),
         ("<p><i>a</p>b</i><article>c</article>", ["c"]),
         ("<div data-job-description>by attribute</div>", ["by attribute"]),
+        ("<DIV DATA-Job-Description>by attribute</DIV>", ["by attribute"]),
+        ("<div class='job&#45;details'>hidden name</div>", ["hidden name"]),
         ("<div class=content>no</div><main><div class=content>in main</div></main>", ["in main", "in main", "no"]),
         ("<article>first</article><article>second</article>", ["first"]),
     ],
@@ -112,7 +114,7 @@ def test_unsupported_selector_is_refused():
     from dataclasses import replace
 
     with pytest.raises(ValueError, match="unsupported selector"):
-        _selectors_by_key(replace(PROFILE, title_selectors=("h1 > b",)))
+        _Selectors(replace(PROFILE, title_selectors=("h1 > b",)))
 
 
 @pytest.fixture(scope="module")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import html5
@@ -52,6 +52,8 @@ _VOID = frozenset(
 _OWN_TEXT = frozenset(("script", "style", "template", "rt", "rp"))
 
 _STEP = re.compile(r"""(?P<tag>[a-z][a-z0-9]*)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[*^]?=)["'](?P<val>[^"']*)["'])?\]""")
+_REFERENCE = re.compile(r"&([a-zA-Z#][^;&<\s]*;?)")
+_COMPLETE_REFERENCE = re.compile(r"[a-zA-Z][a-zA-Z0-9]*;|#[0-9]+;|#[xX][0-9a-fA-F]+;")
 _MANY_BREAKS = re.compile(r"\n{3,}")
 
 
@@ -115,6 +117,14 @@ class _Selector:
             return self.own.tag
         return f".{self.own.classes[0]}" if self.own.classes else f"[{self.own.attrs[0][0]}"
 
+    @property
+    def marks(self) -> tuple[set[str], set[str]]:
+        """Attribute names in lower case, and other texts, that any page with a match must hold somewhere."""
+        steps = (self.own, *self.outer)
+        names = {name for step in steps for name, _, _ in step.attrs}
+        values = {value for step in steps for _, _, value in step.attrs if not re.search(r"\s", value)}
+        return names, values.union(*[step.classes for step in steps])
+
     def fits(self, tag: str, attrs: dict[str, str], open_tags: list[_Open]) -> bool:
         if not self.own.fits(tag, attrs):
             return False
@@ -143,27 +153,44 @@ class _Open(NamedTuple):
 _NO_ATTRS: dict[str, str] = {}
 
 
-def _selectors_by_key(profile: SiteProfile) -> dict[str, tuple[_Selector, ...]]:
-    groups = {
-        "title": profile.title_selectors,
-        "description": profile.description_selectors,
-        "apply": profile.apply_selectors,
-        "metadata": profile.metadata_selectors,
-        "card": profile.card_selectors,
-        "title_tag": ("title",),
-        "body": ("body",),
-    }
-    by_key = defaultdict(list)
-    for group, texts in groups.items():
-        for rank, text in enumerate(texts):
-            selector = _Selector.of(group, rank, text)
-            by_key[selector.key].append(selector)
-    return {key: tuple(selectors) for key, selectors in by_key.items()}
+class _Selectors:
+    """All selectors of a profile; `for_page` leaves those that the page's text can match at all."""
+
+    def __init__(self, profile: SiteProfile) -> None:
+        groups = {
+            "title": profile.title_selectors,
+            "description": profile.description_selectors,
+            "apply": profile.apply_selectors,
+            "metadata": profile.metadata_selectors,
+            "card": profile.card_selectors,
+            "title_tag": ("title",),
+            "body": ("body",),
+        }
+        self.every = tuple(_Selector.of(g, rank, text) for g, texts in groups.items() for rank, text in enumerate(texts))
+        self.marks = [(selector, *selector.marks) for selector in self.every]
+        self.by_key: dict[tuple[_Selector, ...], dict[str, tuple[_Selector, ...]]] = {}
+
+    def for_page(self, body: str, references: set[str]) -> dict[str, tuple[_Selector, ...]]:
+        if any(re.search(r"[\w-]", html.unescape(f"&{name}")) for name in references):
+            possible = self.every  # a reference may hide a letter of a name
+        else:
+            lower = body.lower()
+            possible = tuple(
+                selector
+                for selector, names, texts in self.marks
+                if all(name in lower for name in names) and all(text in body for text in texts)
+            )
+        if possible not in self.by_key:
+            grouped = defaultdict(list)
+            for selector in possible:
+                grouped[selector.key].append(selector)
+            self.by_key[possible] = {key: tuple(selectors) for key, selectors in grouped.items()}
+        return self.by_key[possible]
 
 
 class _PageReader(HTMLParser):
-    def __init__(self, by_key: dict[str, tuple[_Selector, ...]], want_links: bool) -> None:
-        super().__init__(convert_charrefs=False)
+    def __init__(self, by_key: dict[str, tuple[_Selector, ...]], want_links: bool, plain_references: bool) -> None:
+        super().__init__(convert_charrefs=plain_references)
         self.by_key = by_key
         self.want_links = want_links
         self.first: dict[tuple[str, int], _Found] = {}
@@ -172,12 +199,16 @@ class _PageReader(HTMLParser):
         self.pieces: dict[str, list[str]] = defaultdict(list)
         self.kinds = [""]
         self.open_tags: list[_Open] = []
-        self.open_count: Counter[str] = Counter()
+        self.open_count: dict[str, int] = defaultdict(int)
         self.buffer: list[str] = []
         self.title_at: int | None = None
         self.title_inner_tags = 0
         self.title_texts: list[tuple[int, str]] = []
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Line numbers are not needed."""
+        return j
+
     # Text -----------------------------------------------------------------
     def handle_data(self, data: str) -> None:
         self.buffer.append(data)
@@ -209,10 +240,13 @@ class _PageReader(HTMLParser):
         if self.buffer:
             text = "".join(self.buffer)
             self.buffer.clear()
-            self.note_title_text(text)
+            if self.title_at is not None:
+                self.note_title_text(text)
             text = text.strip()
             if text:
-                self.pieces[self.kinds[-1]].append(_MANY_BREAKS.sub("\n\n", text))
+                if "\n\n\n" in text:
+                    text = _MANY_BREAKS.sub("\n\n", text)
+                self.pieces[self.kinds[-1]].append(text)
 
     def note_title_text(self, text: str) -> None:
         if self.title_at is not None:
@@ -226,7 +260,8 @@ class _PageReader(HTMLParser):
 
     # Tags -----------------------------------------------------------------
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.flush()
+        if self.buffer:
+            self.flush()
         self.open(tag, attrs)
         if tag in _VOID:
             self.close_innermost()
@@ -237,7 +272,8 @@ class _PageReader(HTMLParser):
         self.close_innermost()
 
     def handle_endtag(self, tag: str) -> None:
-        self.flush()
+        if self.buffer:
+            self.flush()
         if self.open_count[tag]:
             while self.open_tags[-1].tag != tag:
                 self.close_innermost()
@@ -257,13 +293,13 @@ class _PageReader(HTMLParser):
 
     def select(self, tag: str, attrs: dict[str, str]) -> _Found | None:
         """What the element is found as: a selector's first match, a link, a card."""
-        candidates = self.by_key.get(tag, ())
-        if attrs:
-            for name in attrs:
-                candidates += self.by_key.get(f"[{name}", ())
-            if "class" in attrs:
-                for name in dict.fromkeys(attrs["class"].split()):
-                    candidates += self.by_key.get(f".{name}", ())
+        by_key = self.by_key
+        candidates = by_key.get(tag, ())
+        for name in attrs:
+            candidates += by_key.get(f"[{name}", ())
+            if name == "class":
+                for own_class in dict.fromkeys(attrs[name].split()):
+                    candidates += by_key.get(f".{own_class}", ())
         is_link = self.want_links and tag == "a" and "href" in attrs
         if not candidates and not is_link:
             return None
@@ -320,8 +356,20 @@ class _PageReader(HTMLParser):
         return [(text, self.first[group, rank]) for rank, text in enumerate(texts) if (group, rank) in self.first]
 
 
-def _read_page(body: str, want_links: bool, by_key: dict, profile: SiteProfile) -> dict | None:
-    reader = _PageReader(by_key, want_links)
+def _are_plain(references: set[str], body: str) -> bool:
+    """Every character reference is complete and known: then the parser may decode whole texts at once.
+
+    It would read the others differently: an unknown name loses its semicolon, a name never ends early, and
+    references in an unfinished last tag stay as they are.
+    """
+    if body.rfind("<") > body.rfind(">"):
+        return False
+    return all(_COMPLETE_REFERENCE.fullmatch(name) and (name[0] == "#" or name in html5) for name in references)
+
+
+def _read_page(body: str, want_links: bool, selectors: _Selectors, profile: SiteProfile) -> dict | None:
+    references = set(_REFERENCE.findall(body))
+    reader = _PageReader(selectors.for_page(body, references), want_links, _are_plain(references, body))
     try:
         reader.feed(body)
         reader.finish()
@@ -362,12 +410,12 @@ def _read_page(body: str, want_links: bool, by_key: dict, profile: SiteProfile)
 
 def page_nodes_udf(profile: SiteProfile) -> Callable[[Column, Column], Column]:
     """UDF (body, want_links) -> nodes. Links and cards are listed only where `want_links` is true."""
-    by_key = _selectors_by_key(profile)
+    selectors = _Selectors(profile)
 
     @F.arrow_udf(NODES_TYPE)
     def nodes(bodies: pa.Array, want_links: pa.Array) -> pa.Array:
         rows = (
-            None if body is None else _read_page(body, bool(wanted), by_key, profile)
+            None if body is None else _read_page(body, bool(wanted), selectors, profile)
             for body, wanted in zip(bodies.to_pylist(), want_links.to_pylist(), strict=True)
         )
         return pa.array(rows, type=_NODES)
