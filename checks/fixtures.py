@@ -112,6 +112,9 @@ def _vendor(sql: str) -> str:
 WEB = _vendor(_WEB)
 FEEDS = _vendor(_FEEDS)
 FETCHED = f"select url, status, body from ({WEB}) web union all select url, status, body from ({FEEDS}) feeds"
+# The same with more than a hundred job links on every listing.
+_MANY_LINKS = "".join(f'<li><a href="/careers/SearchJobs/more/{n}">More {n}</a></li>' for n in range(110))
+LONG_FETCHED = f"select url, status, replace(body, '</ul></body>', '{_MANY_LINKS}</ul></body>') as body from ({FETCHED}) short"
 LINKS = f"select page_id as link_seq, url from ({WEB}) web where role <= 8"
 
 # A link list with every class of link and many repeats.

@@ -293,7 +293,10 @@ def fetch_join(spark, folder):
 
 @query
 def page_nodes(spark, folder):
-    return Tables(spark, folder).nodes().select("url", F.to_json("nodes").alias("nodes"))
+    lists = ("titles", "descriptions", "apply_hrefs", "metadata", "anchors", "cards")
+    return Tables(spark, folder).nodes().select("url", "nodes.*").select(
+        "url", "title_tag", *[F.size(name).alias(name) for name in lists]
+    )
 
 
 @query
@@ -357,9 +360,9 @@ def job_defaults(spark, folder):
 
 
 # Listings ---------------------------------------------------------------------
-def _listings(tables: Tables) -> DataFrame:
+def _listings(tables: Tables, sql: str = fixtures.FETCHED) -> DataFrame:
     to_read = links.pages_to_read(tables.classes(), None).where("is_listing").select("url")
-    return to_read.join(tables.nodes(), "url")
+    return to_read.join(tables.nodes(sql), "url")
 
 
 @query
@@ -370,7 +373,8 @@ def listing_links(spark, folder):
 
 @query
 def listing_cap(spark, folder):
-    found = listing.listing_links(_listings(Tables(spark, folder)), PROFILE, limit=3)
+    rows = _listings(Tables(spark, folder), fixtures.LONG_FETCHED)
+    found = listing.listing_links(rows, PROFILE, PROFILE.jobs_per_listing)
     return found.select("url", "job_url")
 
 
@@ -441,7 +445,7 @@ def enrich_targets(spark, folder):
     tables = Tables(spark, folder)
     read, classes = _pages_and_classes(tables)
     found = extract.found_jobs(classes, read, PROFILE, max_job_pages=None)
-    return extract.enrichment_targets(found, classes, 100).select("url", *flat_seq())
+    return extract.enrichment_targets(found, classes, PROFILE.max_job_pages).select("url", *flat_seq())
 
 
 @query

@@ -93,6 +93,19 @@ def test_page_limit(spark, pages):
         assert found.count() == expected
 
 
+def test_a_link_of_many_listings(spark):
+    apex = f"https://{PROFILE.vendor_apex_hosts[0]}"
+    titles = ["Our HR-Trends", "The /blog/ story", "Real job", "Other title", None]
+    bodies = [(f"{apex}/l{n}/careers/SearchJobs", 200, f"<a href='/careers/JobDetail/1'>{t}</a>" if t else "<p>none") for n, t in enumerate(titles)]
+    bodies.append((f"{apex}/careers/JobDetail/1", 200, "<article>text</article>"))
+    read = read_pages(spark.createDataFrame(bodies, "url string, status int, body string"), PROFILE)
+    for order in ([0, 1, 2, 3], [3, 0, 2, 1]):
+        given = links(spark, *[bodies[n][0] for n in order])
+        found = found_jobs(classify(given, PROFILE), read, fetch_rss=False)
+        first = next(titles[n] for n in order if n > 1)
+        assert summary(found) == {(2, f"{apex}/careers/JobDetail/1"): (first, "text", None)}
+
+
 def read_folder(path):
     parts = sorted(path.glob("part-*"))
     return "".join(part.read_text(encoding="utf-8") for part in parts)

@@ -32,6 +32,10 @@ def is_listing(path: Column, profile: SiteProfile) -> Column:
     return (path != "") & (search | short | ending)
 
 
+def is_marketing_title(title: Column, profile: SiteProfile) -> Column:
+    return contains_any(F.lower(F.coalesce(title, F.lit(""))), profile.non_job_patterns)
+
+
 def is_posting(host: Column, path: Column, title: Column, profile: SiteProfile) -> Column:
     """Host, lower-case path and title of a real posting, not of a blog or marketing item."""
     words, listing = profile.career_words, profile.listing_word
@@ -39,9 +43,7 @@ def is_posting(host: Column, path: Column, title: Column, profile: SiteProfile)
     apex_content = contains_any(path, (*profile.blog_paths, *profile.marketing_words)) | ~contains_any(
         path, (*[f"/{word}/" for word in words], listing)
     )
-    other_content = contains_any(path, profile.non_job_patterns) | contains_any(
-        F.lower(F.coalesce(title, F.lit(""))), profile.non_job_patterns
-    )
+    other_content = contains_any(path, profile.non_job_patterns) | is_marketing_title(title, profile)
     vendor_job = host.contains(f".{profile.vendor_suffix}") & ~apex & contains_any(path, (*words, listing))
     any_job = contains_any(path, (*[f"/{word}" for word in words], listing))
     return ~(apex & apex_content) & ~other_content & (vendor_job | any_job)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacancyflow.functions.predicates import is_marketing_title
 from vacancyflow.operators.feeds import feed_jobs
 from vacancyflow.operators.jobs import accepted, first_wins, merge_enrichment
 from vacancyflow.operators.links import classify, first_in_order, hub_origins, pages_to_read
@@ -18,9 +19,10 @@ from vacancyflow.profile import DEFAULT_PROFILE, SiteProfile
 def detail_targets(classes: DataFrame, pages: DataFrame, profile: SiteProfile, limit: int | None) -> DataFrame:
     """(url, card_title, seq): the pages to take a job from.
 
-    These are single job pages, the job links of listings, and listings without any. Many listings may name
-    the same link; rows alike in link and card title give the same job, so the earliest stands for all, and
-    a hot link is down to a row per task before anything is joined.
+    These are single job pages, the job links of listings, and listings without any. Any number of listings
+    may name the same link. All its rows give the same job but for the title, which decides about acceptance
+    only by being a marketing title or not. So the earliest row of either kind stands for all of them: a hot
+    link is down to two rows per task before anything is joined, and its page is read twice at most.
     """
     to_read = pages_to_read(classes, limit)
     single = to_read.where("not is_listing").select(
@@ -32,7 +34,13 @@ def detail_targets(classes: DataFrame, pages: DataFrame, profile: SiteProfile, l
     listed = listing_links(listings, profile, profile.jobs_per_listing, or_page_itself=True).select(
         F.col("job_url").alias("url"), "card_title", seq(PAGE_PASS, F.col("link_seq"), F.col("pos")).alias("seq")
     )
-    return single.unionByName(listed).groupBy("url", "card_title").agg(F.min("seq").alias("seq"))
+    kind = is_marketing_title(F.col("card_title"), profile).alias("is_marketing")
+    return (
+        single.unionByName(listed)
+        .groupBy("url", kind)
+        .agg(F.min("seq").alias("seq"), F.min_by("card_title", "seq").alias("card_title"))
+        .drop("is_marketing")
+    )
 
 
 def detail_jobs(targets: DataFrame, pages: DataFrame, profile: SiteProfile) -> DataFrame:
