@@ -15,7 +15,7 @@ POSTINGS = {
     (f"https://{VENDOR}/about", "Engineer"): False,
     (f"https://{VENDOR}/careers", "Engineer"): False,
     (f"https://{VENDOR}/blogs/careers/", "Engineer"): False,
-    (f"https://{VENDOR}/avatureupfront/careers/x", "Engineer"): False,
+    (f"https://{VENDOR}/{PROFILE.marketing_words[0]}/careers/x", "Engineer"): False,
     (f"https://c.{VENDOR}/ctscareers/x", "Engineer"): True,
     (f"https://C.{VENDOR.upper()}/MyJobs", "Engineer"): True,
     (f"https://c.{VENDOR}/global/SearchJobs", "Engineer"): True,

@@ -166,24 +166,24 @@ class _Selectors:
             "title_tag": ("title",),
             "body": ("body",),
         }
-        self.every = tuple(_Selector.of(g, rank, text) for g, texts in groups.items() for rank, text in enumerate(texts))
-        self.marks = [(selector, *selector.marks) for selector in self.every]
-        self.by_key: dict[tuple[_Selector, ...], dict[str, tuple[_Selector, ...]]] = {}
+        self.every = [_Selector.of(g, rank, text) for g, texts in groups.items() for rank, text in enumerate(texts)]
+        self.marks = [(number, *selector.marks) for number, selector in enumerate(self.every)]
+        self.by_key: dict[tuple[int, ...], dict[str, tuple[_Selector, ...]]] = {}
 
     def for_page(self, body: str, references: set[str]) -> dict[str, tuple[_Selector, ...]]:
         if any(re.search(r"[\w-]", html.unescape(f"&{name}")) for name in references):
-            possible = self.every  # a reference may hide a letter of a name
+            possible = tuple(range(len(self.every)))  # a reference may hide a letter of a name
         else:
             lower = body.lower()
             possible = tuple(
-                selector
-                for selector, names, texts in self.marks
+                number
+                for number, names, texts in self.marks
                 if all(name in lower for name in names) and all(text in body for text in texts)
             )
         if possible not in self.by_key:
             grouped = defaultdict(list)
-            for selector in possible:
-                grouped[selector.key].append(selector)
+            for number in possible:
+                grouped[self.every[number].key].append(self.every[number])
             self.by_key[possible] = {key: tuple(selectors) for key, selectors in grouped.items()}
         return self.by_key[possible]
 
