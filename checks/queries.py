@@ -13,7 +13,7 @@ from vacancyflow.functions import predicates, text, urls
 from vacancyflow.functions.once import once
 from vacancyflow.operators import feeds, jobs, links, listing, pages, schema
 from vacancyflow.plans import counts, crawl, extract
-from vacancyflow.plans.staging import stage_pages
+from vacancyflow.plans.staging import stage_pages, staged
 from vacancyflow.sinks import files
 from vacancyflow.sources import discovery, fetched
 from vacancyflow.sources import feeds as feed_source
@@ -461,7 +461,7 @@ def jobs_json(spark, folder):
     tables = Tables(spark, folder)
     classes = tables.classes()
     found = extract.found_jobs(classes, stage_pages(tables.read_pages()), PROFILE, max_job_pages=None)
-    return files.job_array_lines(jobs.first_wins(found)).orderBy("part", "seq").select("value")
+    return files.job_array_lines(staged(found)).orderBy("part", "seq").select("value")
 
 
 @query
