@@ -36,9 +36,8 @@ def test_equals_sql(spark, duck, name):
     assert found == Counter(tuple(row[names.index(c)] for c in columns) for row in cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_runs(spark, name):
-    assert QUERIES[name](spark, str(FOLDER)).count() > 0
+def test_every_query_has_a_counterpart():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_flagship_has_rows(spark):
