@@ -24,7 +24,7 @@ def packed(columns: list[np.ndarray], text: str = "") -> bytes:
     """Columns of one length and a text, compressed."""
     head = np.array([len(columns[0])], np.int64).tobytes()
     body = b"".join(c.astype(k).tobytes() for c, k in zip(columns, KINDS, strict=True))
-    return zstandard.compress(head + body + text.encode(), 1)
+    return zstandard.compress(head + body + text.encode(), 3)
 
 
 def unpacked(blob: bytes) -> tuple[list[np.ndarray], str]:
@@ -169,6 +169,7 @@ def matched(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             if bucket != now and held:
                 yield close()
                 held = []
+                pa.default_memory_pool().release_unused()
             now = bucket
             held.append((columns, text))
     if held:
@@ -196,7 +197,7 @@ def cleaned(batches: Iterator[pa.RecordBatch], count: int, names: list[str]) ->
 def repeated_runs(docs: DataFrame, length: int = WINDOW, buckets: int | None = None) -> DataFrame:
     """id, tag, start and end (word places) of runs of repeated windows in `docs(id, tag, text)`."""
     parts = partitions(docs.sparkSession)
-    many = buckets or 2 * parts
+    many = buckets or 4 * parts
     sent = docs.mapInArrow(lambda b: dealt(b, many, length), "bucket int, kind int, blob binary")
     sent = sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
     return sent.mapInArrow(lambda b: matched(b, length), "id long, tag int, start int, end int")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -23,6 +23,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: int, most: int = CHUNK_BYT
         starts = np.flatnonzero(np.diff(part, prepend=-1))
         for start, stop in zip(starts, [*starts[1:], batch.num_rows], strict=True):
             yield batch.slice(start, stop - start)
+            pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
