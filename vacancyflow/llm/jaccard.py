@@ -17,6 +17,7 @@ from vacancyflow.llm.words import chunks, mixed, run_hashes, split_words, text_h
 
 SHINGLE, LEAST = 5, 80  # words; percent
 CELLS, BLOCK = 1 << 20, 1 << 12  # of the count sketch
+BITS = 1 << 24  # of the filter of wanted texts
 NO_ID = -(1 << 63)
 
 
@@ -136,8 +137,30 @@ def reachable(n: str, place: str, m: str, other: str, least: int) -> Column:
 
 
 # Verification -----------------------------------------------------------------
-def stored_sets(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches, 0):
+def bit_places(text_hashes: np.ndarray) -> np.ndarray:
+    return (text_hashes.view(np.uint64) & np.uint64(BITS - 1)).astype(np.int64)
+
+
+def bits_of(hashes: DataFrame) -> np.ndarray:
+    """A filter of a fixed number of bits, set at the places of the column `text_hash`.
+
+    It goes to the scan of the texts, so that texts need no shuffle; what it lets through besides is dropped
+    by a later join.
+    """
+    place = F.expr(f"cast(text_hash & {BITS - 1} as int)")
+    places = hashes.select(F.shiftright(place, 5).alias("word"), F.expr("shiftleft(1L, cast(text_hash & 31 as int))").alias("bit"))
+    words = places.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    rows = words.toPandas()  # at most BITS / 32 rows
+    packed = np.zeros(BITS // 32, np.uint32)
+    packed[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
+    return packed
+
+
+def stored_sets(batches: Iterator[pa.RecordBatch], length: int, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Name and tokens of the sets of the wanted ones of (text, text_hash), and of some others by chance."""
+    bits = np.unpackbits(wanted.view(np.uint8), bitorder="little").view(bool)
+    picked = (b.filter(pa.array(bits[bit_places(b.column(1).to_numpy())])) for b in batches)
+    for batch in chunks(picked, 0):
         tokens, starts = token_sets(batch.column(0), length)
         sets = [tokens[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
         yield pa.RecordBatch.from_pydict({"node": set_names(tokens, starts), "tokens": pa.array(sets, pa.binary())})
@@ -192,14 +215,13 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, least: int = LEAST)
     pairs = staged(found.mapInArrow(met, "token long, node long, n int, place int, l_node long, l_n int, l_place int"))
     first = pairs.filter(reachable("n", "place", "l_n", "l_place", least)).select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b"))
 
-    chosen = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "text_hash")).alias("r")).select("node", "r.*")
+    chosen = rows.filter("n > 0").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
 
     def linked(candidates: DataFrame) -> DataFrame:
         nodes = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = nodes.join(chosen, "node").select("id", "text_hash")
-        texts = given.join(wanted, ["id", "text_hash"], "left_semi").select("text")
-        sets = texts.mapInArrow(lambda b: stored_sets(b, length), "node long, tokens binary").dropDuplicates(["node"])
-        sets = staged(sets)
+        wanted = bits_of(nodes.join(chosen, "node").select("text_hash"))
+        sets = given.select("text", "text_hash").mapInArrow(lambda b: stored_sets(b, length, wanted), "node long, tokens binary")
+        sets = staged(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
         a, b = (sets.select(F.col("node").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in ("a", "b"))
         both = candidates.join(a, "a").join(b, "b").select("a", "b", "a_tokens", "b_tokens")
         return staged(both.mapInArrow(lambda x: verified(x, least), "a long, b long"))
