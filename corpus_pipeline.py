@@ -57,15 +57,15 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Whole documents, as often as the mix takes them; those without words, which count nothing, stay once."""
     taken = mixing.mixed(docs, whole=True)
     copies = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(1)
-    taken = taken.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source"), copies.alias("_copies"))
-    # Rows equal in all three meet their draws one by one.
-    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(by[-1]))
-    taken = taken.withColumn("_place", place("_doc", "_hash", "_source"))
-    given = docs.select(*COLUMNS, F.xxhash64("text").alias("_of"))
-    given = given.withColumn("_at", place("doc_id", "source", "_of"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_of") == F.col("_hash")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_at") == F.col("_place"))
-    rows = given.join(taken.filter("_copies > 0"), same)
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*COLUMNS)
+    keys = [F.coalesce("doc_id", F.lit(jaccard.NO_ID)).cast("long").alias("_id"), F.coalesce("source", F.lit("")).alias("_source"), F.col("source").isNull().alias("_none")]
+    counts = taken.groupBy(*keys, F.col("text_hash").alias("_hash")).agg(F.sum(copies).alias("_copies")).filter("_copies > 0")
+    rows = docs.select(*COLUMNS, *keys, F.xxhash64("text").alias("_hash")).join(counts, ["_id", "_source", "_none", "_hash"])
+    # Rows equal in doc_id, source and text share what is taken of them.
+    same = Window.partitionBy("_id", "_source", "_none", "_hash")
+    rows = rows.withColumn("_rows", F.count(F.lit(1)).over(same)).withColumn("_row", F.row_number().over(same.orderBy("n_chars")))
+    share = F.expr("cast(_copies div _rows + if(_row <= _copies % _rows, 1, 0) as int)")
+    rows = rows.withColumn("_share", share).filter("_share > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_share")))).select(*COLUMNS)
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
