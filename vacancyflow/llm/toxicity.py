@@ -18,7 +18,7 @@ from vacancyflow.llm.words import chunks, split_words
 WINDOW = 10
 SHARED_BYTES, OWN_BYTES = 4000, 500
 SAMPLE_DOCS = 2500
-LEAST_DOCS, LEAST_GAIN = 5, 20.0
+LEAST_DOCS, LEAST_GAIN, SHARE_OF_BEST = 5, 20.0, 0.05
 FURTHER = 6000
 LOW, HIGH = -4, 9  # gains in bytes beyond these count as these
 
@@ -144,7 +144,8 @@ def trained(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int
     for order in ((F.col("toxic") + F.col("ordinary")).desc(), (unequal * (F.col("toxic") + F.col("ordinary"))).desc()):
         rows |= {r.segment: (r.toxic, r.ordinary) for r in found.orderBy(order, "segment").limit(FURTHER).collect()}
     marks = {s: evidence(a, b, toxic, ordinary) for s, (a, b) in rows.items()}
-    best = sorted((s for s in marks if marks[s] > LEAST_GAIN), key=lambda s: (-round(marks[s], 1), -len(s), s))
+    least = max(LEAST_GAIN, SHARE_OF_BEST * max(marks.values(), default=0.0))
+    best = sorted((s for s in marks if marks[s] > least), key=lambda s: (-round(marks[s], 1), -len(s), s))
     common = sorted((s for s in marks if abs(marks[s]) <= LEAST_GAIN), key=lambda s: (-sum(rows[s]), s))
     shared = chosen(common, SHARED_BYTES)
     own = chosen(best, OWN_BYTES)
