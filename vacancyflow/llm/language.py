@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vacancyflow.llm.words import chunks, mixed, split_words, vocabulary
 
-ORDER, SAMPLE_DOCS, MARGIN = 4, 1500, 1.25
+ORDER, SAMPLE_DOCS, MARGIN = 4, 1500, 1.5
 BEGIN, END = "\x02", "\x03"
 PREDICTED = "lang_pred string, score double, cross_entropy double, rejected boolean"
 
