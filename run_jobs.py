@@ -26,7 +26,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--sites-only", action="store_true", help="no links from feeds")
     parser.add_argument("--no-rss", action="store_true")
     parser.add_argument("--no-pages", action="store_true")
-    parser.add_argument("--max-pages", type=int, default=DEFAULT_PROFILE.max_job_pages, help="-1 for no limit")
+    parser.add_argument("--max-pages", type=int, help="at most so many job pages; all without it")
     parser.add_argument("--as-array", action="store_true", help="one JSON array instead of JSON lines")
     return parser.parse_args()
 
@@ -35,7 +35,7 @@ def main() -> None:
     args = arguments()
     spark = SparkSession.builder.appName("vacancyflow").getOrCreate()
     fetched = spark.read.parquet(args.fetched)
-    limit = None if args.max_pages < 0 else args.max_pages
+    limit = args.max_pages
     if args.step == "extract":
         pages = stage_pages(read_pages(fetched, DEFAULT_PROFILE))
         output = f"{args.output_dir.rstrip('/')}/jobs"

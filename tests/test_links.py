@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from vacancyflow import DEFAULT_PROFILE as PROFILE
 from vacancyflow.operators import links
-from vacancyflow.sources.links import load_links, read_link_lines, valid_links
+from vacancyflow.sources.links import load_link_file, load_links, read_link_lines, valid_links
 
 # path: hub, job page, listing
 CLASSES = {
@@ -47,7 +47,8 @@ def test_files_keep_order_and_drop_other_lines(spark, tmp_path):
     second.write_text("https://c.example/é\nhttp://b.example\nhttps://d.example", encoding="utf-8")
     merged = load_links(spark, [str(first), str(tmp_path / "missing.txt"), str(second)]).orderBy("link_seq")
     assert [r.url for r in merged.collect()] == ["https://a.example/1", "http://b.example", "https://c.example/é", "https://d.example"]
-    single = load_links(spark, [str(first)]).orderBy("link_seq")
+    assert [r.url for r in load_links(spark, [str(first)]).orderBy("link_seq").collect()] == ["https://a.example/1", "http://b.example"]
+    single = load_link_file(spark, str(first)).orderBy("link_seq")
     assert [r.url for r in single.collect()] == ["https://a.example/1", "http://b.example", "https://a.example/1"]
     assert load_links(spark, [str(tmp_path / "missing.txt")]).count() == 0
 

@@ -144,19 +144,24 @@ def test_outputs_lie_in_a_data_folder(given, expected):
     assert data_folder(given) == expected
 
 
-def test_staging_refuses_unshared_folders():
+@pytest.mark.parametrize("master", ["local[4]", "spark://somewhere:1"])
+def test_staging_uses_shared_folders_only(master):
     from vacancyflow.plans.staging import staging_folder
 
-    class Cluster:
+    class Session:
+        settings = {"spark.sql.warehouse.dir": "hdfs://warehouse"}
+
         class conf:
-            get = staticmethod(lambda name, default=None: None)
+            get = staticmethod(lambda name, default=None: Session.settings.get(name, default))
 
         class sparkContext:
-            master = "spark://somewhere:1"
+            applicationId = "app"
             getCheckpointDir = staticmethod(lambda: None)
 
-    with pytest.raises(ValueError, match="checkpoint.dir"):
-        staging_folder(Cluster)
+    Session.sparkContext.master = master
+    assert staging_folder(Session).startswith("hdfs://warehouse/staging/")
+    Session.settings = {"spark.checkpoint.dir": "hdfs://shared/"}
+    assert staging_folder(Session).startswith("hdfs://shared/vacancyflow-")
 
 
 def test_page_joins_do_not_shuffle_pages(spark, pages):

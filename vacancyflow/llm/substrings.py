@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancyflow.llm.shared import partitions
-from vacancyflow.llm.words import chunks, mixed, run_hashes, split_words, text_hashes, vocabulary, whole_runs
+from vacancyflow.llm.words import chunks, give_back, mixed, run_hashes, split_words, text_hashes, vocabulary, whole_runs
 
 WINDOW, SEED = 13, 3  # words in a window and in a minimiser
+CHUNK_BYTES = 6 << 20  # a passage leaves each chunk once
 NO_ID = -(1 << 63)
 RUNS, PACKED = 0, 1
 KINDS = (np.int64, np.int32, np.int32, np.int32)  # id, tag, start, and end or number of windows
@@ -96,7 +97,7 @@ def dealt(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Itera
     many documents share leaves each chunk once. The others travel: consecutive ones that share a
     minimiser as one string of words.
     """
-    for batch in chunks(batches, 2):
+    for batch in chunks(batches, 2, CHUNK_BYTES):
         batch = batch.filter(pc.not_equal(batch.column(0), NO_ID))
         values, starts = split_words(batch.column(2))
         if len(values) < length:
@@ -169,7 +170,7 @@ def matched(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             if bucket != now and held:
                 yield close()
                 held = []
-                pa.default_memory_pool().release_unused()
+                give_back()
             now = bucket
             held.append((columns, text))
     if held:

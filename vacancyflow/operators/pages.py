@@ -33,12 +33,16 @@ def apply_href() -> Column:
 
 
 def page_metadata(about_location: bool) -> Column:
-    """Text of the last match about the place, or of the last one not about it; null if there is none."""
+    """Text of the last match about the place, or of the last other one whose selector names a date; null if there is none."""
 
     def is_location(match: Column) -> Column:
         return F.lower(match["selector"]).contains("location") | match["classes"].contains("location")
 
-    kept = F.filter("metadata", lambda match: is_location(match) == F.lit(about_location))
+    def is_date(match: Column) -> Column:
+        selector = F.lower(match["selector"])
+        return ~is_location(match) & (selector.contains("date") | selector.contains("posted"))
+
+    kept = F.filter("metadata", is_location if about_location else is_date)
     return F.try_element_at(kept, F.lit(-1))["text"]
 
 

@@ -80,7 +80,7 @@ def found_jobs(
     profile: SiteProfile = DEFAULT_PROFILE,
     fetch_rss: bool = True,
     fetch_job_pages: bool = True,
-    max_job_pages: int | None = DEFAULT_PROFILE.max_job_pages,
+    max_job_pages: int | None = None,
 ) -> DataFrame:
     """Accepted jobs of the feed pass and the page pass, first one per key."""
     passes = []
@@ -100,11 +100,11 @@ def extract_jobs(
     profile: SiteProfile = DEFAULT_PROFILE,
     fetch_rss: bool = True,
     fetch_job_pages: bool = True,
-    max_job_pages: int | None = DEFAULT_PROFILE.max_job_pages,
+    max_job_pages: int | None = None,
 ) -> DataFrame:
     """Job rows (JOB_COLUMNS) of `links` (link_seq, url) over `pages` (see `read_pages`).
 
-    `max_job_pages` limits the page links and, separately, the enriched links; None lifts both limits.
+    `max_job_pages` limits the page links and, separately, the enriched links; without it all are read.
     `pages` and the links are read several times: see `stage_pages` and `staged`.
     """
     classes = classify(links, profile)

@@ -42,7 +42,7 @@ def run_extraction(
     profile: SiteProfile = DEFAULT_PROFILE,
     fetch_rss: bool = True,
     fetch_job_pages: bool = True,
-    max_job_pages: int | None = DEFAULT_PROFILE.max_job_pages,
+    max_job_pages: int | None = None,
     as_array: bool = False,
 ) -> str:
     """Load the link files, in order of preference, extract the jobs and write them; return the path."""
@@ -63,7 +63,7 @@ def run_all(
     output_dir: str = "data",
     seed_files: Sequence[str] = (),
     profile: SiteProfile = DEFAULT_PROFILE,
-    max_job_pages: int | None = DEFAULT_PROFILE.max_job_pages,
+    max_job_pages: int | None = None,
 ) -> str:
     """Crawl, then extract from the seed files, all links and career links; bodies are scanned once."""
     pages = stage_pages(read_pages(fetched, profile))

@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """A new folder below the session's shared checkpoint folder.
-
-    Only a local session without that setting gets a temporary folder of its machine.
-    """
+    """A new folder below the session's shared checkpoint folder, or below its warehouse where that is unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="vacancyflow-")
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/staging"
     return f"{shared.rstrip('/')}/vacancyflow-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 

@@ -52,7 +52,11 @@ def first_links(links: DataFrame) -> DataFrame:
     return links.groupBy("url").agg(F.min("link_seq").alias("link_seq"))
 
 
+def load_link_file(spark: SparkSession, path: str) -> DataFrame:
+    """(link_seq, url) of one link file, with its repeats."""
+    return valid_links(read_link_lines(spark, [path]))
+
+
 def load_links(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(link_seq, url) of one or more link files; several files are merged without repeats."""
-    links = valid_links(read_link_lines(spark, paths))
-    return links if len(paths) == 1 else first_links(links)
+    """(link_seq, url) of a list of link files, merged without repeats, however many there are."""
+    return first_links(valid_links(read_link_lines(spark, paths)))
