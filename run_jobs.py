@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pyspark.sql import SparkSession
 
@@ -17,10 +18,10 @@ def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("step", choices=("crawl", "extract", "all"))
     parser.add_argument("--fetched", required=True, help="parquet of url, status, body")
-    parser.add_argument("--certificates", help="JSON array of certificate records, or JSON lines with --json-lines")
-    parser.add_argument("--json-lines", action="store_true")
+    parser.add_argument("--certificates", help="certificate records as JSON lines, or as one JSON array with --json-array")
+    parser.add_argument("--json-array", action="store_true")
     parser.add_argument("--results", help="parquet of query, rank, href")
-    parser.add_argument("--links", nargs="*", default=[], help="link files in order of preference")
+    parser.add_argument("--links", nargs="*", help="link files in order of preference; by default those of the output folder")
     parser.add_argument("--output-dir", default="data")
     parser.add_argument("--no-validate", action="store_true")
     parser.add_argument("--sites-only", action="store_true", help="no links from feeds")
@@ -33,6 +34,7 @@ def arguments() -> argparse.Namespace:
 
 def main() -> None:
     args = arguments()
+    logging.basicConfig(level=logging.INFO, format="%(message)s")
     spark = SparkSession.builder.appName("vacancyflow").getOrCreate()
     fetched = spark.read.parquet(args.fetched)
     limit = args.max_pages
@@ -42,7 +44,7 @@ def main() -> None:
         switches = {"fetch_rss": not args.no_rss, "fetch_job_pages": not args.no_pages, "as_array": args.as_array}
         run_extraction(spark, args.links, pages, output, max_job_pages=limit, **switches)
         return
-    certificates = read_certificate_records(spark, args.certificates, args.json_lines)
+    certificates = read_certificate_records(spark, args.certificates, not args.json_array)
     results = spark.read.parquet(args.results)
     if args.step == "crawl":
         pages = stage_pages(read_pages(fetched, DEFAULT_PROFILE))

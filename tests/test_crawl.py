@@ -20,7 +20,7 @@ def test_certificates(spark, tmp_path):
     array.write_text(json.dumps(records, indent=1))
     lines.write_text("\n".join(json.dumps(record) for record in records))
     expected = {f"a.{VENDOR}", f"b.{VENDOR}", f"not{VENDOR}"}
-    for read in (read_certificate_records(spark, str(array)), read_certificate_records(spark, str(lines), json_lines=True)):
+    for read in (read_certificate_records(spark, str(array), json_lines=False), read_certificate_records(spark, str(lines))):
         assert {r.domain for r in certificate_domains(read, PROFILE).collect()} == expected
 
 

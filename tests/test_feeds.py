@@ -16,6 +16,8 @@ DOCUMENTS = {
     "rdf": ("<r:RDF xmlns:r='r' xmlns='x'><channel/><item><title>A &amp; B</title></item><item><title>C</title></item></r:RDF>", [("A & B", "", "", ""), ("C", "", "", "")]),
     "spaces": ("<rss xmlns:m='m' xmlns:a='a'><channel><item><m:title>M</m:title><title>T</title><a:link href='x'/><link>u</link></item></channel></rss>", [("M", "u", "", "")]),
     "deep": ("<rss><channel><group><item a='1'><title>D</title></item></group></channel></rss>", [("D", "", "", "")]),
+    "mixed depth": ("<rss><channel><item><title>A</title></item><group><item><title>B</title></item></group><item/></channel></rss>", [("A", "", "", ""), ("B", "", "", ""), ("", "", "", "")]),
+    "no items inside": ("<rss><channel><note><![CDATA[<item><title>N</title></item>]]></note><!-- <item><title>C</title></item> --><item><title>A</title></item></channel></rss>", [("A", "", "", "")]),
     "empty item": ("<rss><channel><item/></channel></rss>", [("", "", "", "")]),
     "cut": ("<rss><channel><item><title>T</title></item><item><title>x", []),
     "entity": ("<rss><channel><item><title>T&nbsp;</title></item></channel></rss>", []),

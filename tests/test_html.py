@@ -1,6 +1,8 @@
 """The page reader on tag soup; expected nodes are set by hand."""
 
 import json
+import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -219,3 +221,27 @@ def test_listing_titles_limits_and_fallbacks(as_nodes):
 def test_nodes_survive_json(as_nodes):
     row = as_nodes({"u": "<h1>é</h1>"}).select(F.to_json("nodes").alias("j")).first()
     assert json.loads(row.j)["titles"] == ["é"]
+
+
+@pytest.mark.parametrize(
+    ("body", "expected"),
+    [
+        ("<div class=a><p class=b><i>1</i>", ["1"]),
+        ("<div class=b><p class=a><i>1</i>", []),
+        ("<div class=a><p class=b></p><i>1</i>", []),
+        ("<div class='a b'><i>1</i>", []),
+        ("<div class='a b'><p class='a b'><i>1</i>", ["1"]),
+        ("<div class=a></div><p class=b><i>1</i></p><div class=a><p class=b><i>2</i>", ["2"]),
+    ],
+)
+def test_steps_lie_inside_one_another(body, expected):
+    profile = replace(PROFILE, title_selectors=(".a .b i",))
+    assert _read_page(body, True, _Selectors(profile), profile)["titles"] == expected
+
+
+@pytest.mark.parametrize("piece", ["<p><a>x", "<div class=job><a href=/x>y"])
+def test_unclosed_tags_take_linear_time(piece):
+    """A reader that walks all open tags per tag would need many minutes."""
+    began = time.process_time()
+    read("<div class=apply-button></div>" + piece * (300_000 // len(piece)))
+    assert time.process_time() - began < 15

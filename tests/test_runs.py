@@ -139,6 +139,20 @@ def test_array_output(spark, pages, tmp_path):
     assert {job["application_url"] for job in json.loads(text)} == {url for _, url in EXPECTED}
 
 
+def test_default_links_and_empty_lists(spark, pages, tmp_path):
+    data = tmp_path / "data"
+    data.mkdir()
+    output = str(data / "jobs")
+    assert run_extraction(spark, None, pages, output) is None
+    assert not (data / "jobs").exists()
+    (data / "initial_links.txt").write_text(f"{SITE}/careers/JobDetail/3\n")
+    assert run_extraction(spark, None, pages, output) == output
+    jobs = [json.loads(line) for line in read_folder(data / "jobs").splitlines()]
+    assert [j["application_url"] for j in jobs] == [f"{SITE}/careers/JobDetail/3"]
+    assert run_extraction(spark, [], pages, output) is None
+    assert len(read_folder(data / "jobs").splitlines()) == 1
+
+
 @pytest.mark.parametrize(("given", "expected"), [("data", "data"), ("out", "out/data"), ("s3://b/x/data/", "s3://b/x/data"), (".", "./data")])
 def test_outputs_lie_in_a_data_folder(given, expected):
     assert data_folder(given) == expected

@@ -10,8 +10,8 @@ from vacancyflow.functions.urls import UrlParts, origin, split_url
 from vacancyflow.profile import SiteProfile
 
 
-def read_certificate_records(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
-    """Only the names are read. A file that is one JSON array is one task; prefer JSON lines for big logs."""
+def read_certificate_records(spark: SparkSession, path: str, json_lines: bool = True) -> DataFrame:
+    """Only the names are read. JSON lines are read in splits; a file that is one JSON array is read by one task."""
     return spark.read.schema("name_value string").json(path, multiLine=not json_lines)
 
 

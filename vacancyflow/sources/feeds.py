@@ -17,30 +17,38 @@ _ITEM = (
 )
 _DOCUMENT = f"struct<channel:struct<item:array<{_ITEM}>>,item:array<{_ITEM}>,broken:string>"
 _OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
-_ITEM_BLOCK = r"(?s)<(?:[\w.\-]+:)?item(?:\s[^>]*)?>.*?</(?:[\w.\-]+:)?item\s*>"
+# Item elements, and CDATA sections and comments outside of them, which may hold what looks like one.
+_ITEM_BLOCK = r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->|<(?:[\w.\-]+:)?item(?:\s[^>]*?)?(?:/>|>.*?</(?:[\w.\-]+:)?item\s*>)"
 
 
 def with_feed_items(rows: DataFrame, body: Column) -> DataFrame:
     """Adds `feed_items`: the items of an RSS or RDF document, none when the XML is malformed.
 
-    Items stand in the channel or under the root. Where a well-formed document has them elsewhere, its
-    item blocks are cut out and read as one flat document. Null bodies cost nothing and give null.
+    Items stand in the channel or under the root. Where a well-formed document has more of them, at whatever
+    depth, its item blocks are cut out and read as one flat document. Null bodies cost nothing and give null.
     """
     document, flat_document = F.col("feed_document"), F.col("flat_document")
     is_sound = body.isNotNull() & document["broken"].isNull()
-    blocks = F.array_join(F.regexp_extract_all(body, F.lit(_ITEM_BLOCK), 0), "")
-    flat = F.when(F.size("usual_items") == 0, F.concat(F.lit("<items>"), blocks, F.lit("</items>")))
+    blocks = F.filter(F.regexp_extract_all(body, F.lit(_ITEM_BLOCK), 0), lambda block: ~block.startswith("<!"))
+    joined = F.concat(F.lit("<items>"), F.array_join("item_blocks", ""), F.lit("</items>"))
+    flat = F.when(F.size("item_blocks") > F.size("usual_items"), joined)
     found = (
         rows.select("*", F.from_xml(body, _DOCUMENT, _OPTIONS).alias("feed_document"))
-        .select(*rows.columns, F.when(is_sound, _items_of(document)).alias("usual_items"))
+        .select(
+            *rows.columns,
+            F.when(is_sound, _items_of(document)).alias("usual_items"),
+            F.when(is_sound, blocks).alias("item_blocks"),
+        )
         .select("*", F.from_xml(flat, _DOCUMENT, _OPTIONS).alias("flat_document"))
         .select(
             *rows.columns,
             "usual_items",
-            F.when(flat_document.isNotNull(), _items_of(flat_document)).alias("flat_items"),
+            F.when(flat_document["broken"].isNull(), _items_of(flat_document)).alias("all_items"),
         )
     )
-    return once(found, feed_items=F.coalesce("flat_items", "usual_items")).drop("usual_items", "flat_items")
+    more = F.size("all_items") > F.size("usual_items")
+    items = F.when(more, F.col("all_items")).otherwise(F.col("usual_items"))
+    return once(found, feed_items=items).drop("usual_items", "all_items")
 
 
 def _items_of(document: Column) -> Column:

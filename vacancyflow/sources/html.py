@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import html
 import re
+import sys
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -125,11 +127,17 @@ class _Selector:
         values = {value for step in steps for _, _, value in step.attrs if not re.search(r"\s", value)}
         return names, values.union(*[step.classes for step in steps])
 
-    def fits(self, tag: str, attrs: dict[str, str], open_tags: list[_Open]) -> bool:
+    def fits(self, tag: str, attrs: dict[str, str], depths: dict[_Step, list[int]]) -> bool:
+        """`depths` has, for every outer step, the rising depths of the open tags that fit it."""
         if not self.own.fits(tag, attrs):
             return False
-        around = reversed(open_tags)
-        return all(any(step.fits(o.tag, o.attrs) for o in around) for step in self.outer)
+        inner = sys.maxsize
+        for step in self.outer:
+            outside = bisect_left(depths[step], inner)
+            if not outside:
+                return False
+            inner = depths[step][outside - 1]
+        return True
 
 
 @dataclass(slots=True)
@@ -146,8 +154,8 @@ class _Found:
 
 class _Open(NamedTuple):
     tag: str
-    attrs: dict[str, str]
     found: _Found | None
+    depths: tuple[list[int], ...]  # of the outer steps that the tag fits
 
 
 _NO_ATTRS: dict[str, str] = {}
@@ -192,6 +200,7 @@ class _PageReader(HTMLParser):
     def __init__(self, by_key: dict[str, tuple[_Selector, ...]], want_links: bool, plain_references: bool) -> None:
         super().__init__(convert_charrefs=plain_references)
         self.by_key = by_key
+        self.depths = {step: [] for selectors in by_key.values() for s in selectors for step in s.outer}
         self.want_links = want_links
         self.first: dict[tuple[str, int], _Found] = {}
         self.cards: list[_Found] = []
@@ -286,7 +295,10 @@ class _PageReader(HTMLParser):
             self.title_inner_tags += 1
         elif found and self.first.get(("title_tag", 0)) is found:
             self.title_at = len(self.open_tags)
-        self.open_tags.append(_Open(tag, attrs, found))
+        fitting = tuple(depths for step, depths in self.depths.items() if step.fits(tag, attrs)) if self.depths else ()
+        for depths in fitting:
+            depths.append(len(self.open_tags))
+        self.open_tags.append(_Open(tag, found, fitting))
         self.open_count[tag] += 1
         if tag in _OWN_TEXT:
             self.kinds.append(tag)
@@ -303,7 +315,7 @@ class _PageReader(HTMLParser):
         is_link = self.want_links and tag == "a" and "href" in attrs
         if not candidates and not is_link:
             return None
-        places = [s.place for s in candidates if s.place not in self.first and s.fits(tag, attrs, self.open_tags)]
+        places = [s.place for s in candidates if s.place not in self.first and s.fits(tag, attrs, self.depths)]
         if not places and not is_link:
             return None
         kind = tag if tag in _OWN_TEXT else ""
@@ -324,6 +336,8 @@ class _PageReader(HTMLParser):
     def close_innermost(self) -> None:
         closed = self.open_tags.pop()
         self.open_count[closed.tag] -= 1
+        for depths in closed.depths:
+            depths.pop()
         if closed.found:
             closed.found.end = len(self.pieces[closed.found.kind])
             closed.found.anchors_to = len(self.anchors)
@@ -367,6 +381,14 @@ def _are_plain(references: set[str], body: str) -> bool:
     return all(_COMPLETE_REFERENCE.fullmatch(name) and (name[0] == "#" or name in html5) for name in references)
 
 
+def _next_named(anchors: list[_Found], words: tuple[str, ...]) -> list[int]:
+    """From every place on, that of the next link with one of the words; the number of links if there is none."""
+    places = [len(anchors)] * (len(anchors) + 1)
+    for at in range(len(anchors) - 1, -1, -1):
+        places[at] = at if any(word in anchors[at].attrs["href"] for word in words) else places[at + 1]
+    return places
+
+
 def _read_page(body: str, want_links: bool, selectors: _Selectors, profile: SiteProfile) -> dict | None:
     references = set(_REFERENCE.findall(body))
     reader = _PageReader(selectors.for_page(body, references), want_links, _are_plain(references, body))
@@ -384,12 +406,11 @@ def _read_page(body: str, want_links: bool, selectors: _Selectors, profile: Site
     if not (descriptions and descriptions[-1]) and ("body", 0) in reader.first:
         body_text = reader.text(reader.first["body", 0])
     cards = []
+    named = _next_named(reader.anchors, profile.card_link_words) if reader.cards else []
     for card in reader.cards:
-        inside = reader.anchors[card.anchors_from : card.anchors_to]
-        named = (a for a in inside if any(word in a.attrs["href"] for word in profile.card_link_words))
-        link = next(named, inside[0] if inside else None)
-        if link and link.attrs["href"]:
-            cards.append({"href": link.attrs["href"], "text": reader.text_up_to(card, profile.card_title_cap)})
+        at = named[card.anchors_from] if named[card.anchors_from] < card.anchors_to else card.anchors_from
+        if at < card.anchors_to and reader.anchors[at].attrs["href"]:
+            cards.append({"href": reader.anchors[at].attrs["href"], "text": reader.text_up_to(card, profile.card_title_cap)})
     return {
         "titles": [reader.text(hit) for _, hit in reader.matches("title", profile.title_selectors)],
         "title_tag": reader.title_tag(),
