@@ -18,6 +18,7 @@ from vacancyflow.llm.words import chunks, mixed, run_hashes, split_words, text_h
 SHINGLE, LEAST = 5, 80  # words; percent
 CELLS, BLOCK = 1 << 20, 1 << 12  # of the count sketch
 BITS = 1 << 24  # of the filter of wanted texts
+PARITY = ("p0", "p1", "p2", "p3")  # 64 bits each
 NO_ID = -(1 << 63)
 
 
@@ -53,24 +54,39 @@ def set_names(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(tokens[a:b].tobytes()) for a, b in zip(starts[:-1], starts[1:], strict=True)), np.uint64, len(starts) - 1).view(np.int64)
 
 
+def parities(tokens: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
+    """256 bits of each set: bit i tells whether an odd number of its tokens hashes to i.
+
+    Two sets differ in at least as many tokens as their bits differ.
+    """
+    full = np.flatnonzero(np.diff(starts))
+    place = mixed(tokens) >> np.uint64(56)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    out = {name: np.zeros(len(starts) - 1, np.uint64) for name in PARITY}
+    for i, name in enumerate(PARITY):
+        if len(full):
+            out[name][full] = np.bitwise_xor.reduceat(np.where(place >> np.uint64(6) == i, bit, np.uint64(0)), starts[full])
+    return {name: x.view(np.int64) for name, x in out.items()}
+
+
 def cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens & np.uint64(CELLS - 1)).astype(np.int64)
 
 
 def sketched(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """id, text_hash, n and node of every row of (id, text_hash, text), and after them the task's token counts by
-    cell, in blocks."""
+    """id, text_hash, n, node and parities of every row of (id, text_hash, text), and after them the task's token
+    counts by cell, in blocks."""
     counts = np.zeros(CELLS, np.int64)
     for batch in chunks(batches, 2):
         tokens, starts = token_sets(batch.column(2), length)
         counts += np.bincount(cells(tokens), minlength=CELLS)
         n = np.diff(starts)
         none = pa.nulls(len(n))
-        yield pa.RecordBatch.from_pydict({"id": batch.column(0), "text_hash": batch.column(1), "n": n, "node": set_names(tokens, starts), "block": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
+        yield pa.RecordBatch.from_pydict({"id": batch.column(0), "text_hash": batch.column(1), "n": n, "node": set_names(tokens, starts), **parities(tokens, starts), "block": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
     if counts.any():
         blocks = [x.tobytes() for x in counts.reshape(-1, BLOCK)]
         none = pa.nulls(len(blocks), pa.int64())
-        yield pa.RecordBatch.from_pydict({"id": none, "text_hash": none, "n": none, "node": none, "block": pa.array(range(len(blocks)), pa.int32()), "counts": pa.array(blocks, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"id": none, "text_hash": none, "n": none, "node": none, **dict.fromkeys(PARITY, none), "block": pa.array(range(len(blocks)), pa.int32()), "counts": pa.array(blocks, pa.binary())})
 
 
 def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,6 +152,12 @@ def reachable(n: str, place: str, m: str, other: str, least: int) -> Column:
     return F.expr(f"least({n} - {place}, {m} - {other}) * {100 + least}L >= {least}L * ({n} + {m})")
 
 
+def alike(least: int) -> Column:
+    """Whether the parities of two sets, of n and m tokens, leave room for a link."""
+    unlike = " + ".join(f"bit_count({name} ^ r_{name})" for name in PARITY)
+    return F.expr(f"({unlike}) * {100 + least}L <= {100 - least}L * (n + m)")
+
+
 # Verification -----------------------------------------------------------------
 def bit_places(text_hashes: np.ndarray) -> np.ndarray:
     return (text_hashes.view(np.uint64) & np.uint64(BITS - 1)).astype(np.int64)
@@ -197,12 +219,13 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, least: int = LEAST)
     Orders: a first pass counts tokens in a sketch of fixed size, and tokens are ordered by rarity there;
     sets meet where they share a prefix token under that order and the places of that token leave room for
     enough common ones. First every set meets one other of each of its tokens; then, where a token's sets
-    are not all connected, those of different components meet. Before the sets themselves are compared,
-    pairs must also share a prefix token under the rising and the falling order of hashes.
+    are not all connected, those of different components meet. Pairs whose parities differ in more bits than
+    linked sets differ in tokens go before any set is moved. Before the sets themselves are compared, pairs
+    must also share a prefix token under the rising and the falling order of hashes.
     """
     spark = docs.sparkSession
     given = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
-    told = staged(given.mapInArrow(lambda b: sketched(b, length), "id long, text_hash long, n long, node long, block int, counts binary"))
+    told = staged(given.mapInArrow(lambda b: sketched(b, length), "id long, text_hash long, n long, node long, p0 long, p1 long, p2 long, p3 long, block int, counts binary"))
     rows = told.filter("block is null").select("id", "text_hash", "n", "node")
     parts = told.filter("block is not null").select("block", "counts").repartition("block").mapInArrow(summed, "block int, counts binary")
     counts = np.zeros((CELLS // BLOCK, BLOCK), np.int64)
@@ -215,18 +238,25 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, least: int = LEAST)
     pairs = staged(found.mapInArrow(met, "token long, node long, n int, place int, l_node long, l_n int, l_place int"))
     first = pairs.filter(reachable("n", "place", "l_n", "l_place", least)).select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b"))
 
-    chosen = rows.filter("n > 0").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
+    # Rows of one node agree in all but the text.
+    nodes = told.filter("block is null and n > 0").groupBy("node")
+    chosen = staged(nodes.agg(*[F.min(x).alias(x) for x in ("text_hash", "n", *PARITY)]))
+
+    def likely(candidates: DataFrame) -> DataFrame:
+        left = chosen.select(F.col("node").alias("a"), "n", *PARITY)
+        right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), *[F.col(x).alias(f"r_{x}") for x in PARITY])
+        return staged(candidates.join(left, "a").join(right, "b").filter(alike(least)).select("a", "b"))
 
     def linked(candidates: DataFrame) -> DataFrame:
         nodes = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = bits_of(nodes.join(chosen, "node").select("text_hash"))
+        wanted = bits_of(nodes.join(chosen.select("node", "text_hash"), "node").select("text_hash"))
         sets = given.select("text", "text_hash").mapInArrow(lambda b: stored_sets(b, length, wanted), "node long, tokens binary")
         sets = staged(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
         a, b = (sets.select(F.col("node").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in ("a", "b"))
         both = candidates.join(a, "a").join(b, "b").select("a", "b", "a_tokens", "b_tokens")
         return staged(both.mapInArrow(lambda x: verified(x, least), "a long, b long"))
 
-    tried = staged(first.distinct())
+    tried = likely(first.distinct())
     links = linked(tried)
     named = components(links)
     seconds = pairs.select("token", "node", "n", "place")
@@ -238,7 +268,7 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, least: int = LEAST)
     right = left.toDF("token", "r_node", "r_n", "r_place", "r_label")
     across = left.join(right, (left["token"] == right["token"]) & (F.col("label") < F.col("r_label")) & reachable("n", "place", "r_n", "r_place", least))
     across = across.select(F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b")).distinct()
-    across = staged(across.join(tried, ["a", "b"], "left_anti"))
+    across = likely(across.join(tried, ["a", "b"], "left_anti"))
     links = links.union(linked(across))
     named = staged(components(links))
     labelled = rows.join(named, "node", "left").withColumn("label", F.when(F.col("n") > 0, F.coalesce("component", "node"))).drop("component")
