@@ -18,7 +18,7 @@ from vacancyflow.llm.words import chunks, mixed, run_hashes, split_words, text_h
 SHINGLE, LEAST = 5, 80  # words; percent
 CELLS, BLOCK = 1 << 20, 1 << 12  # of the count sketch
 BITS = 1 << 24  # of the filter of wanted texts
-PARITY = ("p0", "p1", "p2", "p3")  # 64 bits each
+LEAST_BITS = 256  # of the parities of a set
 NO_ID = -(1 << 63)
 
 
@@ -54,19 +54,28 @@ def set_names(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(tokens[a:b].tobytes()) for a, b in zip(starts[:-1], starts[1:], strict=True)), np.uint64, len(starts) - 1).view(np.int64)
 
 
-def parities(tokens: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
-    """256 bits of each set: bit i tells whether an odd number of its tokens hashes to i.
+def parities(tokens: np.ndarray, starts: np.ndarray) -> list[bytes | None]:
+    """Bits of each set: bit i tells whether an odd number of its tokens hashes to i. There are as many bits as
+    tokens, rounded up to a power of two; an empty set has none.
 
     Two sets differ in at least as many tokens as their bits differ.
     """
-    full = np.flatnonzero(np.diff(starts))
-    place = mixed(tokens) >> np.uint64(56)
-    bit = np.uint64(1) << (place & np.uint64(63))
-    out = {name: np.zeros(len(starts) - 1, np.uint64) for name in PARITY}
-    for i, name in enumerate(PARITY):
-        if len(full):
-            out[name][full] = np.bitwise_xor.reduceat(np.where(place >> np.uint64(6) == i, bit, np.uint64(0)), starts[full])
-    return {name: x.view(np.int64) for name, x in out.items()}
+    places = mixed(tokens)
+    out: list[bytes | None] = []
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        size = max(LEAST_BITS, 1 << (b - a - 1).bit_length()) if b > a else 0
+        place = (places[a:b] & np.uint64(max(size, 1) - 1)).astype(np.int64)
+        out.append(np.packbits((np.bincount(place, minlength=size) & 1).astype(bool), bitorder="little").tobytes() if size else None)
+    return out
+
+
+def unlike(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many bits two parities differ; the longer ones are folded to the length of the others."""
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def cells(tokens: np.ndarray) -> np.ndarray:
@@ -82,11 +91,11 @@ def sketched(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         counts += np.bincount(cells(tokens), minlength=CELLS)
         n = np.diff(starts)
         none = pa.nulls(len(n))
-        yield pa.RecordBatch.from_pydict({"id": batch.column(0), "text_hash": batch.column(1), "n": n, "node": set_names(tokens, starts), **parities(tokens, starts), "block": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
+        yield pa.RecordBatch.from_pydict({"id": batch.column(0), "text_hash": batch.column(1), "n": n, "node": set_names(tokens, starts), "bits": pa.array(parities(tokens, starts), pa.binary()), "block": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
     if counts.any():
         blocks = [x.tobytes() for x in counts.reshape(-1, BLOCK)]
         none = pa.nulls(len(blocks), pa.int64())
-        yield pa.RecordBatch.from_pydict({"id": none, "text_hash": none, "n": none, "node": none, **dict.fromkeys(PARITY, none), "block": pa.array(range(len(blocks)), pa.int32()), "counts": pa.array(blocks, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"id": none, "text_hash": none, "n": none, "node": none, "bits": pa.nulls(len(blocks), pa.binary()), "block": pa.array(range(len(blocks)), pa.int32()), "counts": pa.array(blocks, pa.binary())})
 
 
 def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,10 +161,13 @@ def reachable(n: str, place: str, m: str, other: str, least: int) -> Column:
     return F.expr(f"least({n} - {place}, {m} - {other}) * {100 + least}L >= {least}L * ({n} + {m})")
 
 
-def alike(least: int) -> Column:
-    """Whether the parities of two sets, of n and m tokens, leave room for a link."""
-    unlike = " + ".join(f"bit_count({name} ^ r_{name})" for name in PARITY)
-    return F.expr(f"({unlike}) * {100 + least}L <= {100 - least}L * (n + m)")
+def alike(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The pairs of (a, b, n, m, a_bits, b_bits) whose parities leave room for a link of sets of n and m tokens."""
+    for batch in batches:
+        room = (100 - least) * (batch.column(2).to_numpy() + batch.column(3).to_numpy())
+        bits = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(i)] for i in (4, 5))
+        apart = np.fromiter((unlike(x, y) for x, y in zip(*bits, strict=True)), np.int64, batch.num_rows)
+        yield batch.select([0, 1]).filter(pa.array((100 + least) * apart <= room))
 
 
 # Verification -----------------------------------------------------------------
@@ -225,7 +237,7 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, least: int = LEAST)
     """
     spark = docs.sparkSession
     given = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
-    told = staged(given.mapInArrow(lambda b: sketched(b, length), "id long, text_hash long, n long, node long, p0 long, p1 long, p2 long, p3 long, block int, counts binary"))
+    told = staged(given.mapInArrow(lambda b: sketched(b, length), "id long, text_hash long, n long, node long, bits binary, block int, counts binary"))
     rows = told.filter("block is null").select("id", "text_hash", "n", "node")
     parts = told.filter("block is not null").select("block", "counts").repartition("block").mapInArrow(summed, "block int, counts binary")
     counts = np.zeros((CELLS // BLOCK, BLOCK), np.int64)
@@ -240,18 +252,20 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, least: int = LEAST)
 
     # Rows of one node agree in all but the text.
     nodes = told.filter("block is null and n > 0").groupBy("node")
-    chosen = staged(nodes.agg(*[F.min(x).alias(x) for x in ("text_hash", "n", *PARITY)]))
+    chosen = staged(nodes.agg(*[F.min(x).alias(x) for x in ("text_hash", "n", "bits")]))
 
     def likely(candidates: DataFrame) -> DataFrame:
-        left = chosen.select(F.col("node").alias("a"), "n", *PARITY)
-        right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), *[F.col(x).alias(f"r_{x}") for x in PARITY])
-        return staged(candidates.join(left, "a").join(right, "b").filter(alike(least)).select("a", "b"))
+        left = chosen.select(F.col("node").alias("a"), "n", F.col("bits").alias("a_bits"))
+        right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("b_bits"))
+        both = candidates.join(left, "a").join(right, "b").select("a", "b", "n", "m", "a_bits", "b_bits")
+        return staged(both.mapInArrow(lambda x: alike(x, least), "a long, b long"))
 
     def linked(candidates: DataFrame) -> DataFrame:
         nodes = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = bits_of(nodes.join(chosen.select("node", "text_hash"), "node").select("text_hash"))
         sets = given.select("text", "text_hash").mapInArrow(lambda b: stored_sets(b, length, wanted), "node long, tokens binary")
-        sets = staged(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+        # Sets are dealt out by node once; both joins read that shuffle.
+        sets = sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
         a, b = (sets.select(F.col("node").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in ("a", "b"))
         both = candidates.join(a, "a").join(b, "b").select("a", "b", "a_tokens", "b_tokens")
         return staged(both.mapInArrow(lambda x: verified(x, least), "a long, b long"))
