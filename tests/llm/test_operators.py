@@ -89,16 +89,18 @@ def test_near_duplicates(spark, rows, length, least):
 
 def test_parities_differ_in_no_more_bits_than_sets_in_tokens():
     rng = np.random.default_rng(5)
-    base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
-    sets = [base, base[:390], np.zeros(0, np.uint64), base[5:], rng.integers(0, 1 << 62, 300).astype(np.uint64), base[:1]]
+    base = rng.integers(0, 1 << 62, 1100).astype(np.uint64)
+    sets = [base[:400], base[:390], np.zeros(0, np.uint64), base[5:400], rng.integers(0, 1 << 62, 300).astype(np.uint64), base[:1], base, base[:1020]]
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     found = jaccard.parities(np.concatenate(sets), starts)
-    bits = [sum(int(found[p].view(np.uint64)[i]) << (64 * k) for k, p in enumerate(jaccard.PARITY)) for i in range(len(sets))]
-    assert bits[2] == 0 and bits[5].bit_count() == 1
+    assert [None if x is None else 8 * len(x) for x in found] == [512, 512, None, 512, 512, 256, 2048, 1024]
+    bits = [np.frombuffer(x or bytes(32), np.uint64) for x in found]
+    assert np.bitwise_count(bits[5]).sum() == 1
     for i, j in itertools.combinations(range(len(sets)), 2):
         apart = len(set(sets[i].tolist()) ^ set(sets[j].tolist()))
-        assert (bits[i] ^ bits[j]).bit_count() <= apart and (bits[i] ^ bits[j]).bit_count() % 2 == apart % 2
-    assert (bits[0] ^ bits[4]).bit_count() > 80
+        differ = jaccard.unlike(bits[i], bits[j])
+        assert differ <= apart and differ % 2 == apart % 2
+    assert jaccard.unlike(bits[0], bits[4]) > 80
 
 
 def test_linked_chain_of_copies(spark):
