@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures
 from vacancyflow import DEFAULT_PROFILE as PROFILE
+from vacancyflow import WHOLE_PROFILE, SiteProfile
 from vacancyflow.functions import predicates, text, urls
 from vacancyflow.functions.once import once
 from vacancyflow.operators import feeds, jobs, links, listing, pages, schema
@@ -49,8 +50,8 @@ class Tables:
         read = self.spread if spread else self.given
         return self.spark.sql(sql, **{name: read(name) for name in names})
 
-    def read_pages(self) -> DataFrame:
-        return fetched.read_pages(self.fixture(fixtures.FETCHED, spread=True), PROFILE)
+    def read_pages(self, profile: SiteProfile = PROFILE) -> DataFrame:
+        return fetched.read_pages(self.fixture(fixtures.FETCHED, spread=True), profile)
 
     def nodes(self, sql: str = fixtures.FETCHED) -> DataFrame:
         return fetched.page_nodes(self.fixture(sql, spread=True), PROFILE)
@@ -437,30 +438,30 @@ def enrich_merge(spark, folder):
 
 
 def _pages_and_classes(tables: Tables) -> tuple[DataFrame, DataFrame]:
-    return stage_pages(tables.read_pages()), tables.classes()
+    return stage_pages(tables.read_pages(WHOLE_PROFILE)), tables.classes()
 
 
 @query
 def enrich_targets(spark, folder):
     tables = Tables(spark, folder)
     read, classes = _pages_and_classes(tables)
-    found = extract.found_jobs(classes, read, PROFILE, max_job_pages=None)
+    found = extract.found_jobs(classes, read, WHOLE_PROFILE, max_job_pages=None)
     return extract.enrichment_targets(found, classes, PROFILE.max_job_pages).select("url", *flat_seq())
 
 
 @query
 def jobs_all(spark, folder):
     tables = Tables(spark, folder)
-    read = stage_pages(tables.read_pages())
-    found = extract.extract_jobs(tables.fixture(fixtures.LINKS), read, PROFILE, max_job_pages=None)
+    read = stage_pages(tables.read_pages(WHOLE_PROFILE))
+    found = extract.extract_jobs(tables.fixture(fixtures.LINKS), read, WHOLE_PROFILE, max_job_pages=None)
     return flat_jobs(found, *flat_seq())
 
 
 @query
 def jobs_json(spark, folder):
     tables = Tables(spark, folder)
-    classes = tables.classes()
-    found = extract.found_jobs(classes, stage_pages(tables.read_pages()), PROFILE, max_job_pages=None)
+    read, classes = _pages_and_classes(tables)
+    found = extract.found_jobs(classes, read, WHOLE_PROFILE, max_job_pages=None)
     return files.job_array_lines(staged(found)).orderBy("part", "seq").select("value")
 
 

@@ -7,7 +7,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from vacancyflow import DEFAULT_PROFILE
+from vacancyflow import WHOLE_PROFILE
 from vacancyflow.plans.run import crawl, run_all, run_extraction
 from vacancyflow.plans.staging import stage_pages
 from vacancyflow.sources.discovery import read_certificate_records
@@ -39,7 +39,7 @@ def main() -> None:
     fetched = spark.read.parquet(args.fetched)
     limit = args.max_pages
     if args.step == "extract":
-        pages = stage_pages(read_pages(fetched, DEFAULT_PROFILE))
+        pages = stage_pages(read_pages(fetched, WHOLE_PROFILE))
         output = f"{args.output_dir.rstrip('/')}/jobs"
         switches = {"fetch_rss": not args.no_rss, "fetch_job_pages": not args.no_pages, "as_array": args.as_array}
         run_extraction(spark, args.links, pages, output, max_job_pages=limit, **switches)
@@ -47,7 +47,7 @@ def main() -> None:
     certificates = read_certificate_records(spark, args.certificates, not args.json_array)
     results = spark.read.parquet(args.results)
     if args.step == "crawl":
-        pages = stage_pages(read_pages(fetched, DEFAULT_PROFILE))
+        pages = stage_pages(read_pages(fetched, WHOLE_PROFILE))
         switches = {"validate": not args.no_validate, "include_job_links": not args.sites_only}
         crawl(certificates, results, pages, args.output_dir, **switches)
     else:

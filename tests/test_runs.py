@@ -3,13 +3,17 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from vacancyflow import DEFAULT_PROFILE as PROFILE
+from vacancyflow import WHOLE_PROFILE
 from vacancyflow.operators.links import classify
+from vacancyflow.operators.listing import listing_links
 from vacancyflow.plans.extract import extract_jobs, found_jobs
 from vacancyflow.plans.run import run_all, run_extraction
 from vacancyflow.plans.staging import stage_pages, staged
 from vacancyflow.sinks.files import data_folder
+from vacancyflow.sources.discovery import search_bases
 from vacancyflow.sources.fetched import read_pages
 
 VENDOR = PROFILE.vendor_suffix
@@ -189,3 +193,22 @@ def test_page_joins_do_not_shuffle_pages(spark, pages):
         assert plan.count("Exchange hashpartitioning(url") == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_nothing_is_cut_without_a_limit(spark):
+    """Link 101 onward of a listing, long titles, long bodies and late search results."""
+    site = f"https://h.{VENDOR}"
+    jobs = [f"{site}/careers/JobDetail/{n}" for n in range(130)]
+    listing = "".join(f"<a href='{url}'>{'t' * 350}</a>" for url in jobs)
+    cards = f"<div class=job>{'c' * 450}<a href='/en/careers/SearchJobs'></a></div>"
+    rows = [(f"{site}/careers/SearchJobs", 200, listing), (f"{site}/en_US/careers/SearchJobs", 200, cards), (f"{site}/en/careers/SearchJobs", 200, "<p>" + "x" * 200)]
+    rows += [(url, 200, f"<body>{'b' * 16_000}</body>") for url in jobs]
+    read = stage_pages(read_pages(spark.createDataFrame(rows, "url string, status int, body string"), WHOLE_PROFILE))
+    nodes = read.select("url", "nodes").where(F.col("url").isin(f"{site}/careers/SearchJobs", f"{site}/en_US/careers/SearchJobs"))
+    titles = {r.card_title for r in listing_links(nodes, WHOLE_PROFILE).collect()}
+    assert "t" * 350 in titles and {len(t) for t in titles} == {350, 450}
+    found = found_jobs(classify(links(spark, f"{site}/careers/SearchJobs"), WHOLE_PROFILE), read, fetch_rss=False).collect()
+    assert {r.application_url for r in found} == set(jobs)
+    assert {(len(r.job_title), len(r.job_description)) for r in found} == {(350, 16_000)}
+    results = [(PROFILE.search_queries[0], n, f"https://n{n}.{VENDOR}/x") for n in range(70)]
+    assert search_bases(spark.createDataFrame(results, "query string, rank int, href string"), WHOLE_PROFILE).count() == 70

@@ -30,6 +30,8 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
     return text.rlike("|".join(re.escape(word) for word in words))
 
 
-def cap(text: Column, limit: int, suffix: str = "") -> Column:
-    """The first `limit` characters, with `suffix` only where something was cut."""
+def cap(text: Column, limit: int | None, suffix: str = "") -> Column:
+    """The first `limit` characters, with `suffix` only where something was cut; no limit means the whole text."""
+    if limit is None:
+        return text
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit(suffix))).otherwise(text)

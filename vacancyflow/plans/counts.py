@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from vacancyflow.functions.urls import UrlParts, origin, split_url
 from vacancyflow.operators.feeds import posting_items
 from vacancyflow.operators.links import classify
-from vacancyflow.profile import DEFAULT_PROFILE, SiteProfile
+from vacancyflow.profile import WHOLE_PROFILE, SiteProfile
 
 
-def link_counts(links: DataFrame, profile: SiteProfile = DEFAULT_PROFILE) -> DataFrame:
+def link_counts(links: DataFrame, profile: SiteProfile = WHOLE_PROFILE) -> DataFrame:
     """(measure, n): links, hubs, job pages and listings, counted in one pass."""
     flags = classify(links, profile).agg(
         F.count("*").alias("links"),
@@ -22,7 +22,7 @@ def link_counts(links: DataFrame, profile: SiteProfile = DEFAULT_PROFILE) -> Dat
     return flags.unpivot([], ["links", "hubs", "job_pages", "listings"], "measure", "n")
 
 
-def feed_counts(links: DataFrame, pages: DataFrame, profile: SiteProfile = DEFAULT_PROFILE) -> DataFrame:
+def feed_counts(links: DataFrame, pages: DataFrame, profile: SiteProfile = WHOLE_PROFILE) -> DataFrame:
     """(url, n): items that the feed of each hub contributes; hubs without any are left out."""
     per_feed = posting_items(pages, profile).groupBy("origin", "feed_rank").agg(F.count("*").alias("n"))
     per_origin = per_feed.groupBy("origin").agg(F.min_by("n", "feed_rank").alias("n"))

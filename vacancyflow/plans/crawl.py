@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vacancyflow.functions.text import contains_any, strip
 from vacancyflow.functions.urls import normalise
 from vacancyflow.operators.feeds import mined_links
-from vacancyflow.profile import DEFAULT_PROFILE, SiteProfile
+from vacancyflow.profile import WHOLE_PROFILE, SiteProfile
 from vacancyflow.sources.discovery import certificate_domains, search_bases
 
 LINK_ORDER = ("part", "site", "pos", "url")
@@ -45,7 +45,7 @@ def career_links(
     certificates: DataFrame,
     results: DataFrame,
     pages: DataFrame,
-    profile: SiteProfile = DEFAULT_PROFILE,
+    profile: SiteProfile = WHOLE_PROFILE,
     validate: bool = True,
 ) -> DataFrame:
     """(url) of the career sites, distinct; `write_links` sorts them."""
@@ -54,7 +54,7 @@ def career_links(
 
 
 def all_links(
-    sites: DataFrame, pages: DataFrame, profile: SiteProfile = DEFAULT_PROFILE, include_job_links: bool = True
+    sites: DataFrame, pages: DataFrame, profile: SiteProfile = WHOLE_PROFILE, include_job_links: bool = True
 ) -> DataFrame:
     """(part, site, pos, url): the sites, then the links their feeds name; LINK_ORDER sorts them."""
     first = sites.select(F.lit(0).alias("part"), F.lit("").alias("site"), F.lit(0).alias("pos"), "url")

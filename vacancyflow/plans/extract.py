@@ -13,7 +13,7 @@ from vacancyflow.operators.listing import listing_links
 from vacancyflow.operators.pages import page_jobs
 from vacancyflow.operators.schema import ENRICH_PASS, JOB_COLUMNS, PAGE_PASS, seq
 from vacancyflow.plans.staging import staged
-from vacancyflow.profile import DEFAULT_PROFILE, SiteProfile
+from vacancyflow.profile import WHOLE_PROFILE, SiteProfile
 
 
 def detail_targets(classes: DataFrame, pages: DataFrame, profile: SiteProfile, limit: int | None) -> DataFrame:
@@ -77,7 +77,7 @@ def enrichment_rows(targets: DataFrame, pages: DataFrame, profile: SiteProfile)
 def found_jobs(
     classes: DataFrame,
     pages: DataFrame,
-    profile: SiteProfile = DEFAULT_PROFILE,
+    profile: SiteProfile = WHOLE_PROFILE,
     fetch_rss: bool = True,
     fetch_job_pages: bool = True,
     max_job_pages: int | None = None,
@@ -97,7 +97,7 @@ def found_jobs(
 def extract_jobs(
     links: DataFrame,
     pages: DataFrame,
-    profile: SiteProfile = DEFAULT_PROFILE,
+    profile: SiteProfile = WHOLE_PROFILE,
     fetch_rss: bool = True,
     fetch_job_pages: bool = True,
     max_job_pages: int | None = None,

@@ -11,7 +11,7 @@ from vacancyflow.operators.jobs import with_timestamp
 from vacancyflow.plans.crawl import LINK_ORDER, all_links, career_links
 from vacancyflow.plans.extract import extract_jobs
 from vacancyflow.plans.staging import stage_pages, staged
-from vacancyflow.profile import DEFAULT_PROFILE, SiteProfile
+from vacancyflow.profile import WHOLE_PROFILE, SiteProfile
 from vacancyflow.sinks.files import data_folder, write_job_array, write_jobs, write_links
 from vacancyflow.sources.fetched import read_pages
 from vacancyflow.sources.links import load_links
@@ -30,7 +30,7 @@ def crawl(
     results: DataFrame,
     pages: DataFrame,
     output_dir: str = "data",
-    profile: SiteProfile = DEFAULT_PROFILE,
+    profile: SiteProfile = WHOLE_PROFILE,
     validate: bool = True,
     include_job_links: bool = True,
 ) -> tuple[str, str]:
@@ -51,7 +51,7 @@ def run_extraction(
     link_files: Sequence[str] | None,
     pages: DataFrame,
     output: str = "data/jobs",
-    profile: SiteProfile = DEFAULT_PROFILE,
+    profile: SiteProfile = WHOLE_PROFILE,
     fetch_rss: bool = True,
     fetch_job_pages: bool = True,
     max_job_pages: int | None = None,
@@ -83,7 +83,7 @@ def run_all(
     fetched: DataFrame,
     output_dir: str = "data",
     seed_files: Sequence[str] | None = None,
-    profile: SiteProfile = DEFAULT_PROFILE,
+    profile: SiteProfile = WHOLE_PROFILE,
     max_job_pages: int | None = None,
 ) -> str | None:
     """Crawl, then extract from the seed files, all links and career links; bodies are scanned once.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,7 @@ class SiteProfile:
         "inurl:avature.net/careers",
         "inurl:avature.net/jobs",
     )
-    search_results_per_query: int = 50
+    search_results_per_query: int | None = 50
     skip_words: tuple[str, ...] = (
         "analytics",
         "cdn",
@@ -111,13 +111,24 @@ class SiteProfile:
     )
     card_link_words: tuple[str, ...] = ("JobDetail", "SearchJobs")
 
-    # Limits.
+    # Limits. All but the first may be None, which means no limit.
     long_description: int = 100
-    body_text_cap: int = 15_000
-    anchor_title_cap: int = 300
-    card_title_cap: int = 400
-    jobs_per_listing: int = 100
-    max_job_pages: int = 500
+    body_text_cap: int | None = 15_000
+    anchor_title_cap: int | None = 300
+    card_title_cap: int | None = 400
+    jobs_per_listing: int | None = 100
+    max_job_pages: int | None = 500
 
 
 DEFAULT_PROFILE = SiteProfile()
+
+# The same without any limit on results, links or texts: what the plans use unless another one is given.
+WHOLE_PROFILE = replace(
+    DEFAULT_PROFILE,
+    search_results_per_query=None,
+    body_text_cap=None,
+    anchor_title_cap=None,
+    card_title_cap=None,
+    jobs_per_listing=None,
+    max_job_pages=None,
+)

@@ -27,16 +27,17 @@ def certificate_domains(records: DataFrame, profile: SiteProfile) -> DataFrame:
 
 
 def search_bases(results: DataFrame, profile: SiteProfile) -> DataFrame:
-    """Distinct origins of vendor sites among the first results of each query.
+    """Distinct origins of vendor sites among the first results of each query, or all without a limit.
 
     The row-number filter becomes a group limit before the shuffle, so each task sends at most the
     cap per query however many results a query has.
     """
-    by_rank = Window.partitionBy("query").orderBy("rank")
-    ranked = results.where(F.col("query").isin(*profile.search_queries)).withColumn(
-        "place", F.row_number().over(by_rank)
-    )
-    found = ranked.where(F.col("place") <= profile.search_results_per_query).where("href <> ''")
+    found = results.where(F.col("query").isin(*profile.search_queries))
+    if profile.search_results_per_query is not None:
+        by_rank = Window.partitionBy("query").orderBy("rank")
+        ranked = found.withColumn("place", F.row_number().over(by_rank))
+        found = ranked.where(F.col("place") <= profile.search_results_per_query)
+    found = found.where("href <> ''")
     return (
         split_url(found, "href", "href_")
         .where("href_netloc <> ''")

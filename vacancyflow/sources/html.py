@@ -356,8 +356,10 @@ class _PageReader(HTMLParser):
     def text(self, hit: _Found) -> str:
         return "\n".join(self.pieces[hit.kind][hit.start : hit.end])
 
-    def text_up_to(self, hit: _Found, limit: int) -> str:
-        """Enough of the text to tell whether it is longer than `limit`."""
+    def text_up_to(self, hit: _Found, limit: int | None) -> str:
+        """Enough of the text to tell whether it is longer than `limit`; without one, the whole text."""
+        if limit is None:
+            return self.text(hit)
         pieces, size = [], -1
         for at in range(hit.start, hit.end):
             pieces.append(self.pieces[hit.kind][at])
