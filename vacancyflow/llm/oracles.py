@@ -115,3 +115,42 @@ select doc_id, size::bigint as size, source_size, target,
     + greatest(0, least(size, floor(target)::bigint % source_size - ahead)) else 0 end)::bigint as taken
 from placed join targets on placed.source is not distinct from targets.source
 """
+
+ORACLES["op12_hard_negatives"] = """
+with usable as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+    list_sum(list_transform(list_zip(a.v, c.v), lambda x: x[1] * x[2]))::bigint as score
+  from usable a join usable c on a.vec_id % 50 = 0 and c.vec_id <> a.vec_id and len(c.v) = len(a.v)
+),
+positives as (
+  select * from scored where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+),
+ranked as (
+  select p.anchor_id, p.vec_id as positive_id, p.score as positive_score, n.vec_id as negative_id, n.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id) as rank
+  from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+    and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from ranked where rank <= 3
+"""
+
+ORACLES["op13_lines"] = r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
+  from documents
+),
+keyed as (
+  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+),
+judged as (select *, length(key) >= 10 and min(doc_id) over (partition by key) < doc_id as gone from keyed)
+select doc_id, count(*)::bigint as n_lines, count(*) filter (where gone)::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from judged group by doc_id
+"""

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import vacancyflow.llm
-from vacancyflow.llm import fingerprints, jaccard, language, mixing, pieces, sharding, substrings, topk, toxicity, warc
+from vacancyflow.functions.once import once
+from vacancyflow.llm import fingerprints, jaccard, language, lines, mixing, negatives, periodic, pieces, sharding, substrings, topk, toxicity, warc
 
 # The functions that run in Python workers travel with the query, so workers need no copy of the package.
 cloudpickle.register_pickle_by_value(vacancyflow.llm)
@@ -98,3 +99,47 @@ def op10_fingerprints(spark, folder):
 def op3_substrings(spark, folder):
     rows = substrings.without_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth document (by crc32 of its id) repeats p of its words from word a on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    given = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.coalesce(h % 10 == 0, F.lit(False)).alias("chosen"))
+    words = F.when(F.col("chosen"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    split = once(given, words=words).withColumn("n", F.size("words")).withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    split = split.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    # p is more than a tenth of the n - a words, so ten times are enough.
+    again = F.expr("concat(slice(words, 1, int(a)), slice(flatten(array_repeat(slice(words, int(a + 1), int(p)), 10)), 1, int(n - a)))")
+    return split.select("doc_id", F.when(F.col("chosen") & (F.col("n") > 0), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    rows = periodic.without_runs(looped(table(spark, folder, "documents")))
+    # The longest run; of equal ones the first, then the one with the smallest period.
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    told = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    rows = once(rows, longest=longest)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(told, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_hard_negatives(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_lines(spark, folder):
+    rows = lines.without_repeated_lines(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
