@@ -176,12 +176,94 @@ def test_salvage(plain):
     broken[len(broken) // 2] ^= 255
     data = b"".join([parts[0], bytes(broken), b"junk\x1f\x8b\x08junk", parts[2], parts[3][: len(parts[3]) // 2], parts[4], parts[5][:-3]])
     found = list(warc.salvaged(data))
-    assert [x[3]["warc-record-id"][10:-1] for x in found if x[0] == "record"] == ["0", "2", "4"]
-    assert [x[0] for x in found] == ["record", "gap", "record", "gap", "record", "gap"]
+    # Of the last member only the checksum is cut, so its record is still whole.
+    assert [x[3]["warc-record-id"][10:-1] for x in found if x[0] == "record"] == ["0", "2", "4", *([] if plain else ["5"])]
+    found = [x for x in found if x[5] is None or x[0] == "record"]
+    assert [x[0] for x in found] == ["record", "gap", "record", "gap", "record", "gap" if plain else "record"]
     assert sum(x[2] for x in found) == len(data) and all(a[1] + a[2] == b[1] for a, b in itertools.pairwise(found))
     assert list(warc.salvaged(b"")) == []
 
 
+def made_records(n, size=50):
+    return [warc.record(i, "u", b"payload %d" % i * size, hashlib.sha1(b"").hexdigest(), None, "2024-01-01T00:00:00Z") for i in range(n)]
+
+
+def names(found):
+    return [int(x[3]["warc-record-id"][10:-1]) for x in found if x[0] == "record"]
+
+
+def test_salvage_inside_members():
+    made = made_records(3)
+    broken = bytearray(made[1])
+    broken[-20] ^= 255
+    long = made[1].replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    for second, why in ((bytes(broken), "block digest differs"), (long, "record not ended")):
+        for data in (warc.compressed(made[0] + second + made[2], 6), made[0] + second + made[2]):
+            found = list(warc.salvaged(data))
+            assert names(found) == [0, 2]
+            gaps = [x for x in found if x[0] == "gap"]
+            assert len(gaps) == 1 and gaps[0][3] == why and gaps[0][2] == len(second)
+            assert (gaps[0][5] or gaps[0][1]) == len(made[0])
+
+
+@pytest.mark.parametrize("flip", [False, True])
+def test_salvage_of_a_whole_file_in_one_member(flip):
+    """Cut at its end or damaged in its midst, a member gives the records before, and the next member is found."""
+    made = made_records(2000)
+    data = bytearray(warc.compressed(b"".join(made), 6))
+    whole = len(data)
+    if flip:
+        data[whole // 2 : whole // 2 + 40] = bytes(40)
+    else:
+        del data[whole * 9 // 10 :]
+    tail = warc.compressed(warc.record(5000, "u", b"tail", "", None, "2024-01-01T00:00:00Z"), 6)
+    found = list(warc.salvaged(bytes(data) + tail))
+    assert names(found)[-1] == 5000 and names(found)[:-1] == list(range(len(names(found)) - 1))
+    assert len(names(found)) > (2000 // 2 if flip else 2000 * 9 // 10) - 100
+    outer = [x for x in found if x[0] == "gap" and x[5] is None]
+    assert len(outer) == 1 and outer[0][1] + outer[0][2] == len(data)
+
+
+def test_reading_members_takes_time_in_proportion():
+    """Bytes handed to zlib stay in proportion to the archive: no member gets the whole rest."""
+    fed = []
+
+    class Counting:
+        def __init__(self, real):
+            self.real = real
+
+        def decompress(self, piece):
+            fed.append(len(piece))
+            return self.real.decompress(piece)
+
+        def copy(self):
+            return Counting(self.real.copy())
+
+        def __getattr__(self, name):
+            return getattr(self.real, name)
+
+    data = b"".join(warc.compressed(x, 6) for x in made_records(3000))
+    real = warc.zlib.decompressobj
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(warc.zlib, "decompressobj", lambda bits: Counting(real(bits)))
+        assert names(warc.salvaged(data)) == list(range(3000))
+    assert max(fed) <= warc.PIECE and len(fed) < 3000 + 2 * len(data) // warc.PIECE
+
+
+def test_warc_of_wide_tables_and_long_payloads(spark, tmp_path):
+    """Columns named like those of the reader are not read; a payload of many megabytes comes back whole."""
+    text = "".join(random.Random(1).choices("abcdefgh <>\n", k=1 << 20)) * 12
+    rows = [(1, "u", text, "d", 5, "k", 1), (2, "u", text, "d", 5, "k", 1), (3, "v", None, "d", 5, "k", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, payload_digest string, refers_to int, kind string, offset int")
+    found = {r.record_id: r for r in warc.round_trip(pages, f"file://{tmp_path}/wide").collect()}
+    digest = hashlib.sha1(text.encode()).hexdigest()
+    assert {k: (r.record_type, r.payload_bytes, r.payload_digest, r.refers_to) for k, r in found.items()} == {
+        "urn:page:1": ("revisit", len(text), digest, "urn:page:2"),
+        "urn:page:2": ("response", len(text), digest, None),
+        "urn:page:3": ("response", 0, hashlib.sha1(b"").hexdigest(), None),
+    }
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 6) / 3]) for i in range(250)]

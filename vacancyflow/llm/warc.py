@@ -17,13 +17,14 @@ from vacancyflow.llm.shared import shared_folder
 
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 16 << 20
+PIECE = 16 << 10
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MEMBER, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 NEXT_START = re.compile(re.escape(MEMBER) + b"|" + re.escape(VERSION))
 
 MANIFEST = "archive string, records long, bytes long"
 READ = (
-    "archive string, offset long, length long, kind string, reason string, record_type string, record_id string, "
+    "archive string, offset long, length long, inside long, kind string, reason string, record_type string, record_id string, "
     "target_uri string, refers_to string, payload_bytes long, payload_digest string, payload binary"
 )
 
@@ -163,49 +164,87 @@ def plain_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return headers, block, stop + 4
 
 
-def records_at(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records of the gzip member at `at`, or the plain record there, and where the next begins."""
-    if not data.startswith(MEMBER, at):
-        headers, block, end = plain_record(data, at)
-        return [(headers, block)], end
-    unpacker = zlib.decompressobj(31)
-    try:
-        text = unpacker.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        raise Damaged("bad member") from error
-    if not unpacker.eof:
-        raise Damaged("member not ended")
-    found, inside = [], 0
-    while inside < len(text):
-        headers, block, inside = plain_record(text, inside)
-        found.append((headers, block))
-    return found, len(data) - len(unpacker.unused_data)
+def inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at `at` holds, as far as it can be read, where it ends or fails, and why it fails.
 
+    The member is fed in pieces, so what follows it is not copied. Where a piece fails, it is fed again byte by
+    byte, so that everything before the damage is kept.
+    """
+    unpacker, out = zlib.decompressobj(31), []
+    view = memoryview(data)
+    while not unpacker.eof and at < len(data):
+        piece, before = view[at : at + PIECE], unpacker.copy()
+        try:
+            out.append(unpacker.decompress(piece))
+        except zlib.error:
+            for i in range(len(piece)):
+                try:
+                    out.append(before.decompress(piece[i : i + 1]))
+                except zlib.error:
+                    return b"".join(out), at + i, "bad member"
+        at += len(piece)
+    if not unpacker.eof:
+        return b"".join(out), at, "member not ended"
+    return b"".join(out), at - len(unpacker.unused_data), None
 
-def salvaged(data: bytes) -> Iterator[tuple]:
-    """("record", offset, length, headers, block) and ("gap", offset, length, reason, None), in order.
 
-    After a failed check the next member or version line that holds valid records is looked for; the bytes
-    up to there are one gap, with the first reason.
-    """
+def inner_records(text: bytes) -> Iterator[tuple]:
+    """("record", place, length, headers, block) and ("gap", place, length, reason, None) of an inflated member:
+    after a failed check the search goes on at the next version line."""
     at, gap, why = 0, -1, ""
-    while at < len(data):
+    while at < len(text):
         try:
-            found, end = records_at(data, at)
+            headers, block, end = plain_record(text, at)
         except Damaged as error:
             if gap < 0:
                 gap, why = at, str(error)
-            after = NEXT_START.search(data, at + 1)
-            at = after.start() if after else len(data)
+            after = text.find(VERSION, at + 1)
+            at = after if after >= 0 else len(text)
             continue
         if gap >= 0:
             yield "gap", gap, at - gap, why, None
             gap = -1
-        for headers, block in found:
-            yield "record", at, end - at, headers, block
+        yield "record", at, end - at, headers, block
         at = end
     if gap >= 0:
-        yield "gap", gap, len(data) - gap, why, None
+        yield "gap", gap, len(text) - gap, why, None
+
+
+def salvaged(data: bytes) -> Iterator[tuple]:
+    """("record", offset, length, headers, block, inside) and ("gap", offset, length, reason, None, inside), in order.
+
+    After a failed check the next member or version line that holds valid records is looked for; the bytes
+    up to there are one gap, with the first reason. A record or gap of a member has the member's offset; `inside`
+    is its place in the inflated member, and the length of such a gap counts inflated bytes. A member that
+    can't be read to its end gives the valid records before its damage, and a gap from the damage on.
+    """
+    at, gap, why = 0, -1, ""
+    while at < len(data):
+        if data.startswith(MEMBER, at):
+            text, stop, fault = inflated(data, at)
+            found = [(kind, at, stop - at if kind == "record" else size, told, block, place) for kind, place, size, told, block in inner_records(text)]
+        else:
+            try:
+                headers, block, stop = plain_record(data, at)
+                found, fault = [("record", at, stop - at, headers, block, None)], None
+            except Damaged as error:
+                found, stop, fault = [], at, str(error)
+        valid = any(x[0] == "record" for x in found)
+        if gap >= 0 and (valid or fault is None):
+            yield "gap", gap, at - gap, why, None, None
+            gap = -1
+        if valid or fault is None:
+            yield from found
+        if fault is None:
+            at = stop
+            continue
+        after = NEXT_START.search(data, at + 1)
+        following = after.start() if after else len(data)
+        if gap < 0:
+            gap, why = min(stop, following) if valid else at, fault
+        at = following
+    if gap >= 0 and gap < len(data):
+        yield "gap", gap, len(data) - gap, why, None, None
 
 
 def fields(headers: dict[str, str], block: bytes, payloads: bool) -> tuple:
@@ -227,23 +266,25 @@ def fields(headers: dict[str, str], block: bytes, payloads: bool) -> tuple:
 def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
     """Every record and every quarantined gap of the archives in `folder`, gzip or plain.
 
-    `kind` is record or gap; a gap has offset, length and reason only. Bytes and digest of a response are
-    taken from its payload; a revisit has those that its headers tell. An empty file gives no row, a file
-    without any valid record one gap. Each archive is read whole by one task.
+    `kind` is record or gap; a gap has offset, length, reason and, within a member, `inside`. Bytes and digest
+    of a response are taken from its payload; a revisit has those that its headers tell. An empty file gives
+    no row, a file without any valid record one gap. Each archive is read whole by one task, and a member is
+    inflated whole: an archive of 2 GB or more ends the read with an error, so large crawls are cut into archives
+    as `write_archives` does.
     """
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
+            [("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("inside", pa.int64())]
             + [(n, pa.string()) for n in ("kind", "reason", "record_type", "record_id", "target_uri", "refers_to")]
             + [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
         )
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
                 name, rows, size = path.as_py().rpartition("/")[2], [], 0
-                for kind, at, length, told, block in salvaged(content.as_py() or b""):
+                for kind, at, length, told, block, inside in salvaged(content.as_py() or b""):
                     row = fields(told, block, payloads) if kind == "record" else (None,) * 7
-                    rows.append((name, at, length, kind, told if kind == "gap" else None, *row))
+                    rows.append((name, at, length, inside, kind, told if kind == "gap" else None, *row))
                     size += len(block or b"") if payloads else 0
                     if len(rows) >= 4096 or size > 8 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
