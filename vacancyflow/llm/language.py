@@ -11,19 +11,24 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from vacancyflow.llm.words import chunks, mixed, split_words, vocabulary
 
-ORDER, SAMPLE_DOCS, MARGIN = 4, 1500, 1.5
+ORDER, SAMPLE_DOCS, LEFT_OUT, MOST_LANGUAGES = 4, 1500, 5, 1000
+SLACK, LIKELY, SPREADS = 0.4, 0.9, 3.0  # see `calibrated`
 BEGIN, END = "\x02", "\x03"
 PREDICTED = "lang_pred string, score double, cross_entropy double, rejected boolean"
+PREDICTED_TYPE = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())])
 
 
 def letter_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Word numbers of all texts in turn, each text's start, and the lower-case words, with their letters only, by number."""
+    """Word numbers of all texts in turn, each text's start, and the lower-case words by number, with their letters
+    and marks only; a word without letters is empty."""
     values, starts = split_words(pc.utf8_lower(pc.fill_null(texts, "")))
     at, words = vocabulary(values)
-    return at, starts, pc.replace_substring_regex(words, r"[^\p{L}\p{M}]+", "").to_pylist()
+    letters = pc.replace_substring_regex(words, r"[^\p{L}\p{M}]+", "")
+    return at, starts, pc.if_else(pc.match_substring_regex(letters, r"\p{L}"), letters, "").to_pylist()
 
 
 def gram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +99,7 @@ class Models:
                 level = below
         self.shares = [self.sorted(x, 0.0) for x in shares]
         self.weights = [self.sorted(x, 1.0) for x in weights]
-        self.limits = np.full(len(self.langs), np.inf)
+        self.usual, self.spread = np.full(len(self.langs), np.inf), np.zeros(len(self.langs))
 
     def sorted(self, rows: dict[str, dict[int, float]], absent: float) -> tuple[np.ndarray, np.ndarray]:
         keys = hashed_strings(list(rows))
@@ -141,18 +146,43 @@ class Models:
         return (sums[starts[1:]] - sums[starts[:-1]]) / np.maximum(n, 1)[:, None], n
 
 
-def trained(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, margin: float = MARGIN) -> Models | None:
+    def calibrated(self, lang: str, h: np.ndarray, n: np.ndarray) -> None:
+        """Sets what is usual in a language from cross-entropies of rows and their numbers of characters.
+
+        A row's distance from the median shrinks with the root of its length; the spread is the 0.9 quantile of the
+        distances so scaled. Neither moves much for a few wrong rows.
+        """
+        column = self.langs.index(lang)
+        self.usual[column] = np.median(h)
+        self.spread[column] = np.quantile(np.abs(h - self.usual[column]) * np.sqrt(n), LIKELY)
+
+    def limits(self, column: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The highest cross-entropy that fits: 1.4 times the usual one, and three spreads for the length."""
+        return (1 + SLACK) * self.usual[column] + SPREADS * self.spread[column] / np.sqrt(np.maximum(n, 1))
+
+
+def trained(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> Models | None:
     """Models of every language in `lang` of the rows where `learn` holds, or None where there are none.
 
     Of each language about `sample_docs` documents are learnt from, all if there are fewer, chosen by a hash
-    of doc_id and text; that bounds the counts that reach the driver. A language's limit is `margin` times
-    the highest cross-entropy that one of these documents has under its own model.
+    of doc_id and text; that bounds the counts that reach the driver. A fifth of them is left out of the counts
+    and used to calibrate what is rejected (all, where fewer than 5 are left out). More than 1000 languages end
+    the run with an error, since a model holds a column for each.
     """
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("there"))  # a row for each language
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("there")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not sizes:
+        return None
+    there = F.create_map(*[F.lit(x) for row in sizes for x in row])
     place = F.pmod(F.xxhash64(F.lit("learn"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(F.broadcast(sizes), "lang").filter(place * F.col("there") < sample_docs).select("lang", "text")
-    grams = sample.mapInArrow(counted, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    left_out = F.pmod(F.xxhash64(F.lit("left out"), "doc_id", "text"), F.lit(LEFT_OUT)) == 0
+    sample = rows.filter(place * F.element_at(there, F.col("lang")) < sample_docs).select("lang", "text", left_out.alias("left_out"))
+    # Where a language has few documents, none is left out.
+    few = [row.lang for row in sizes if min(row.there, sample_docs) < 5 * LEFT_OUT]
+    learnt = sample.filter(~F.col("left_out") | F.col("lang").isin(few)).select("lang", "text")
+    grams = learnt.mapInArrow(counted, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = grams.toPandas()
     if counts.empty:
         return None
@@ -163,11 +193,14 @@ def trained(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, marg
             h, n = models.cross_entropies(batch.column(1))
             column = np.array([models.langs.index(x) if x in models.langs else -1 for x in batch.column(0).to_pylist()])
             known = (column >= 0) & (n > 0)
-            yield pa.RecordBatch.from_pydict({"lang": batch.column(0).filter(pa.array(known)), "h": h[known, column[known]]})
-
-    highest = sample.mapInArrow(own, "lang string, h double").groupBy("lang").agg(F.max("h").alias("h"))
-    for lang, h in highest.collect():
-        models.limits[models.langs.index(lang)] = margin * h
+            yield pa.RecordBatch.from_pydict({"lang": batch.column(0).filter(pa.array(known)), "left_out": batch.column(2).filter(pa.array(known)), "h": h[known, column[known]], "n": n[known]})
+
+    # Three numbers for each document of the sample.
+    told = sample.select("lang", "text", "left_out").mapInArrow(own, "lang string, left_out boolean, h double, n long").toPandas()
+    for lang, rows_of in told.groupby("lang"):
+        apart = rows_of[rows_of["left_out"]]
+        used = apart if len(apart) >= 5 else rows_of
+        models.calibrated(lang, used["h"].to_numpy(), used["n"].to_numpy())
     return models
 
 
@@ -178,27 +211,31 @@ def identified(docs: DataFrame, models: Models | None, keep: tuple[str, ...] = (
     from its own. The prediction is the language of the lowest cross-entropy per character, the first by
     name in a tie. `score` is its share among all languages if 40 characters (or all, if fewer) had that
     cross-entropy. A null text, one without letters, and any text without models give `und` with score 0
-    and are rejected, and so is a text whose cross-entropy exceeds the language's calibrated limit. Whole
-    texts are scored; rows keep their number.
+    and are rejected, and so is a text whose cross-entropy exceeds what the language's calibration allows at its
+    length. Whole texts are scored; repeated rows get equal results; rows keep their number, an empty table gives
+    none. Only texts go to Python; the other columns stay where they are.
     """
-    count = len(keep)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, count):
-            if models is None:
-                h, n = np.full((batch.num_rows, 1), np.inf), np.zeros(batch.num_rows, np.int64)
-                langs, limits = ["und"], np.full(1, np.inf)
-            else:
-                h, n = models.cross_entropies(batch.column(count))
-                langs, limits = models.langs, models.limits
-            best = h.argmin(axis=1)
-            lowest = h[np.arange(len(h)), best]
-            spread = np.exp(-(h - lowest[:, None]) * np.minimum(n, 40)[:, None]) if models else np.ones_like(h)
-            score = np.where(n > 0, 1 / spread.sum(axis=1), 0.0)
-            lang = np.where(n > 0, np.array(langs, dtype=object)[best], "und")
-            rejected = (n == 0) | (lowest > limits[best])
-            columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(lowest, pa.float64(), mask=n == 0), pa.array(rejected)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(count)], *columns], [*keep, "lang_pred", "score", "cross_entropy", "rejected"])
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep, "text").mapInArrow(run, f"{kept}, {PREDICTED}")
+
+    def scored(texts: pa.Array) -> pa.StructArray:
+        if models is None:
+            h, n = np.full((len(texts), 1), np.inf), np.zeros(len(texts), np.int64)
+            langs, allowed = ["und"], np.full(len(texts), np.inf)
+        else:
+            h, n = models.cross_entropies(texts)
+            langs, allowed = models.langs, models.limits(h.argmin(axis=1), n)
+        best = h.argmin(axis=1)
+        lowest = h[np.arange(len(h)), best]
+        spread = np.exp(-(h - lowest[:, None]) * np.minimum(n, 40)[:, None]) if models else np.ones_like(h)
+        score = np.where(n > 0, 1 / spread.sum(axis=1), 0.0)
+        lang = np.where(n > 0, np.array(langs, dtype=object)[best], "und")
+        rejected = (n == 0) | (lowest > allowed)
+        columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(lowest, pa.float64(), mask=n == 0), pa.array(rejected)]
+        return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "cross_entropy", "rejected"])
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [scored(part.column(0)) for part in chunks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), 0)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], PREDICTED_TYPE)
+
+    found = F.arrow_udf(run, PREDICTED, ArrowUDFType.SCALAR_ITER)(F.col("text"))
+    return docs.select(*keep, found.alias("_found")).select(*keep, "_found.*")

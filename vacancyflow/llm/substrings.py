@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from vacancyflow.llm.shared import partitions
 from vacancyflow.llm.words import chunks, give_back, mixed, run_hashes, split_words, text_hashes, vocabulary, whole_runs
@@ -18,6 +19,8 @@ WINDOW, SEED = 13, 3  # words in a window and in a minimiser
 CHUNK_BYTES = 6 << 20  # a passage leaves each chunk once
 NO_ID = -(1 << 63)
 RUNS, PACKED = 0, 1
+CLEANED = "n_words long, n_removed long, kept string"
+CLEANED_TYPE = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 KINDS = (np.int64, np.int32, np.int32, np.int32)  # id, tag, start, and end or number of windows
 
 
@@ -177,22 +180,31 @@ def matched(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         yield close()
 
 
-def cleaned(batches: Iterator[pa.RecordBatch], count: int, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """n_words, n_removed and the kept words of (kept columns, text, runs)."""
-    for batch in chunks(batches, count):
-        values, starts = split_words(batch.column(count))
-        runs = batch.column(count + 1)
-        n = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
-        flat = runs.flatten()
-        base = np.repeat(starts[:-1], n)
-        change = np.zeros(len(values) + 1, np.int64)
-        np.add.at(change, base + flat.field(0).to_numpy(), 1)
-        np.add.at(change, base + flat.field(1).to_numpy(), -1)
-        keep = np.cumsum(change)[:-1] == 0
-        before = np.concatenate([[0], np.cumsum(keep)])[starts]
-        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), values.filter(pa.array(keep))), " ")
-        words, kept = np.diff(starts), np.diff(before)
-        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(count)], pa.array(words), pa.array(words - kept), texts.cast(pa.string())], names)
+def cleaned(batches: Iterator[tuple[pa.Array, pa.Array]], changed: bool) -> Iterator[pa.Array]:
+    """n_words, n_removed and the kept words of (text, runs); with `changed`, null where no word goes."""
+    for texts, lists in batches:
+        parts = []
+        for batch in chunks(iter([pa.RecordBatch.from_arrays([texts, lists], ["text", "runs"])]), 0):
+            values, starts = split_words(batch.column(0))
+            runs = batch.column(1)
+            n = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+            flat = runs.flatten()
+            base = np.repeat(starts[:-1], n)
+            change = np.zeros(len(values) + 1, np.int64)
+            np.add.at(change, base + flat.field(0).to_numpy(), 1)
+            np.add.at(change, base + flat.field(1).to_numpy(), -1)
+            keep = np.cumsum(change)[:-1] == 0
+            words = np.diff(starts)
+            if changed:
+                # Texts that lose nothing need not be joined.
+                keep &= np.repeat(n > 0, words)
+            before = np.concatenate([[0], np.cumsum(keep)])[starts]
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), values.filter(pa.array(keep))), " ").cast(pa.string())
+            kept = np.where(n > 0, np.diff(before), words)
+            if changed:
+                joined = pc.if_else(pa.array(kept < words), joined, pa.scalar(None, pa.string()))
+            parts.append(pa.StructArray.from_arrays([pa.array(words), pa.array(words - kept), joined], CLEANED_TYPE.names))
+        yield pa.concat_arrays(parts) if parts else pa.array([], CLEANED_TYPE)
 
 
 def repeated_runs(docs: DataFrame, length: int = WINDOW, buckets: int | None = None) -> DataFrame:
@@ -204,7 +216,7 @@ def repeated_runs(docs: DataFrame, length: int = WINDOW, buckets: int | None = N
     return sent.mapInArrow(lambda b: matched(b, length), "id long, tag int, start int, end int")
 
 
-def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length: int = WINDOW, buckets: int | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length: int = WINDOW, buckets: int | None = None, changed: bool = False) -> DataFrame:
     """The columns `keep` of every row of `docs(doc_id, text, ...)`, then n_words, n_removed and kept.
 
     A window is `length` consecutive words of one document. A word goes if a window that covers it has the
@@ -212,15 +224,16 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length
     the words that stay, joined by one space. Null and empty texts have no words; rows without doc_id are
     neither smaller nor larger than others and stay whole, and rows of the same doc_id do not clean each
     other. A repeat inside one document stays. Copies of a text all go but for those of the smallest doc_id.
+    With `changed`, `kept` is null where no word goes. Only texts go to Python; the columns `keep` stay.
     """
     hashed = F.xxhash64("text")
     tag = hashed.bitwiseAND(0x7FFFFFFF).cast("int").alias("tag")
-    given = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("_id"), tag.alias("_tag"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col("text").alias("_text"))
-    runs = repeated_runs(given.select(F.col("_id").alias("id"), F.col("_tag").alias("tag"), F.col("_text").alias("text")), length, buckets)
+    given = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("_id"), tag.alias("_tag"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], *([] if "text" in keep else [F.col("text").alias("_text")]))
+    whole = F.col(f"_{keep.index('text')}" if "text" in keep else "_text")  # a text travels once
+    runs = repeated_runs(given.select(F.col("_id").alias("id"), F.col("_tag").alias("tag"), whole.alias("text")), length, buckets)
     # At most a document's own number of words.
     runs = runs.groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     joined = given.join(runs, (F.col("_id") == F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
-    count, names = len(keep), [*keep, "n_words", "n_removed", "kept"]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    rows = joined.select(*[f"_{i}" for i in range(count)], "_text", "runs")
-    return rows.mapInArrow(lambda b: cleaned(b, count, names), f"{kept}, n_words long, n_removed long, kept string")
+    clean = F.arrow_udf(lambda b: cleaned(b, changed), CLEANED, ArrowUDFType.SCALAR_ITER)
+    rows = joined.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], clean(whole, F.col("runs")).alias("_clean"))
+    return rows.select(*keep, "_clean.*")
