@@ -48,9 +48,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the words of passages seen before; a text that loses nothing stays as it is."""
-    rows = substrings.without_repeats(docs, COLUMNS)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    return rows.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+    rows = substrings.without_repeats(docs, COLUMNS, changed=True)
+    text = F.coalesce("kept", "text").alias("text")
+    return rows.select("doc_id", text, "lang", "source", F.coalesce(F.length("kept").cast("long"), "n_chars").alias("n_chars"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
