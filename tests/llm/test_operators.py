@@ -87,6 +87,27 @@ def test_near_duplicates(spark, rows, length, least):
     assert jaccard.near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_linked_sets_share_prefixes_under_both_hash_orders():
+    rng = np.random.default_rng(8)
+    linked = apart = 0
+    for _ in range(400):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 120)), dtype=np.uint64))
+        other = rng.integers(0, 2**63, int(rng.integers(0, 30)), dtype=np.uint64)
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.choice([0.3, 0.9, 1])], other]))
+        if not len(b):
+            continue
+        tokens, starts = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
+        x, y = (np.frombuffer(z, np.uint16) for z in jaccard.hash_prefixes(tokens, starts, 85))
+        shared = len(np.intersect1d(a, b))
+        if 100 * shared >= 85 * (len(a) + len(b) - shared):
+            assert jaccard.share_prefixes(x, y)
+            linked += 1
+        else:
+            apart += not jaccard.share_prefixes(x, y)
+    assert linked > 20 and apart > 20
+    assert jaccard.hash_prefixes(np.zeros(0, np.uint64), np.array([0, 0]), 85) == [None]
+
+
 def test_parities_differ_in_no_more_bits_than_sets_in_tokens():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 62, 1100).astype(np.uint64)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancyflow.llm.components import components
-from vacancyflow.llm.shared import partitions, staged
+from vacancyflow.llm.shared import partitions, small_batches, staged
 from vacancyflow.llm.words import chunks, mixed, run_hashes, split_words, text_hashes, vocabulary, whole_runs
 
 SHINGLE, LEAST = 5, 80  # words; percent
@@ -78,24 +78,40 @@ def unlike(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def hash_prefixes(tokens: np.ndarray, starts: np.ndarray, least: int) -> list[bytes | None]:
+    """The prefix tokens of each set, sorted by hash, under the rising and the falling order: 16 bits of each."""
+    short = (mixed(tokens) >> np.uint64(48)).astype(np.uint16)
+    out: list[bytes | None] = []
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        p = prefix_length(b - a, least)
+        out.append(short[a : a + p].tobytes() + short[b - p : b].tobytes() if b > a else None)
+    return out
+
+
+def share_prefixes(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets may share a prefix token under both hash orders; linked sets do."""
+    a, b = x.reshape(2, -1), y.reshape(2, -1)
+    return all(np.isin(a[i], b[i]).any() for i in (0, 1))
+
+
 def cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens & np.uint64(CELLS - 1)).astype(np.int64)
 
 
-def sketched(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """id, text_hash, n, node and parities of every row of (id, text_hash, text), and after them the task's token
-    counts by cell, in blocks."""
+def sketched(batches: Iterator[pa.RecordBatch], length: int, least: int) -> Iterator[pa.RecordBatch]:
+    """id, text_hash, n, node, parities and hash prefixes of every row of (id, text_hash, text), and after them the
+    task's token counts by cell, in blocks."""
     counts = np.zeros(CELLS, np.int64)
     for batch in chunks(batches, 2):
         tokens, starts = token_sets(batch.column(2), length)
         counts += np.bincount(cells(tokens), minlength=CELLS)
         n = np.diff(starts)
         none = pa.nulls(len(n))
-        yield pa.RecordBatch.from_pydict({"id": batch.column(0), "text_hash": batch.column(1), "n": n, "node": set_names(tokens, starts), "bits": pa.array(parities(tokens, starts), pa.binary()), "block": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
+        yield pa.RecordBatch.from_pydict({"id": batch.column(0), "text_hash": batch.column(1), "n": n, "node": set_names(tokens, starts), "bits": pa.array(parities(tokens, starts), pa.binary()), "orders": pa.array(hash_prefixes(tokens, starts, least), pa.binary()), "block": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
     if counts.any():
         blocks = [x.tobytes() for x in counts.reshape(-1, BLOCK)]
         none = pa.nulls(len(blocks), pa.int64())
-        yield pa.RecordBatch.from_pydict({"id": none, "text_hash": none, "n": none, "node": none, "bits": pa.nulls(len(blocks), pa.binary()), "block": pa.array(range(len(blocks)), pa.int32()), "counts": pa.array(blocks, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"id": none, "text_hash": none, "n": none, "node": none, "bits": pa.nulls(len(blocks), pa.binary()), "orders": pa.nulls(len(blocks), pa.binary()), "block": pa.array(range(len(blocks)), pa.int32()), "counts": pa.array(blocks, pa.binary())})
 
 
 def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,12 +178,16 @@ def reachable(n: str, place: str, m: str, other: str, least: int) -> Column:
 
 
 def alike(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """The pairs of (a, b, n, m, a_bits, b_bits) whose parities leave room for a link of sets of n and m tokens."""
+    """The pairs of (a, b, n, m, a_bits, b_bits, a_orders, b_orders) whose parities leave room for a link of sets of n
+    and m tokens, and which share a prefix token under both hash orders as well."""
     for batch in batches:
         room = (100 - least) * (batch.column(2).to_numpy() + batch.column(3).to_numpy())
         bits = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(i)] for i in (4, 5))
         apart = np.fromiter((unlike(x, y) for x, y in zip(*bits, strict=True)), np.int64, batch.num_rows)
-        yield batch.select([0, 1]).filter(pa.array((100 + least) * apart <= room))
+        near = batch.filter(pa.array((100 + least) * apart <= room))
+        orders = ([np.frombuffer(x.as_buffer(), np.uint16) for x in near.column(i)] for i in (6, 7))
+        shared = [share_prefixes(x, y) for x, y in zip(*orders, strict=True)]
+        yield near.select([0, 1]).filter(pa.array(shared, pa.bool_()))
 
 
 # Verification -----------------------------------------------------------------
@@ -201,19 +221,11 @@ def stored_sets(batches: Iterator[pa.RecordBatch], length: int, wanted: np.ndarr
 
 
 def verified(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b, a_tokens, b_tokens) that are linked.
-
-    Sets are sorted by hash, so their first and their last tokens are their prefixes under two further
-    global orders; a pair that shares no token in one of them is dropped before the sets are compared.
-    """
+    """The pairs (a, b, a_tokens, b_tokens) that are linked."""
     for batch in batches:
         keep = []
         for x, y in zip(batch.column(2), batch.column(3), strict=True):
             a, b = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-            p, q = prefix_length(len(a), least), prefix_length(len(b), least)
-            if not (np.isin(a[:p], b[:q]).any() and np.isin(a[-p:], b[-q:]).any()):
-                keep.append(False)
-                continue
             shared = len(np.intersect1d(a, b, assume_unique=True))
             keep.append(100 * shared >= least * (len(a) + len(b) - shared))
         yield pa.RecordBatch.from_pydict({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array(keep, pa.bool_()))
@@ -231,13 +243,14 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, least: int = LEAST)
     Orders: a first pass counts tokens in a sketch of fixed size, and tokens are ordered by rarity there;
     sets meet where they share a prefix token under that order and the places of that token leave room for
     enough common ones. First every set meets one other of each of its tokens; then, where a token's sets
-    are not all connected, those of different components meet. Pairs whose parities differ in more bits than
-    linked sets differ in tokens go before any set is moved. Before the sets themselves are compared, pairs
-    must also share a prefix token under the rising and the falling order of hashes.
+    are not all connected, those of different components meet. The filters are intersected before any set is
+    moved: candidates must also share a prefix token under the rising and under the falling order of hashes,
+    and pairs whose parities differ in more bits than linked sets differ in tokens go.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     given = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
-    told = staged(given.mapInArrow(lambda b: sketched(b, length), "id long, text_hash long, n long, node long, bits binary, block int, counts binary"))
+    told = staged(given.mapInArrow(lambda b: sketched(b, length, least), "id long, text_hash long, n long, node long, bits binary, orders binary, block int, counts binary"))
     rows = told.filter("block is null").select("id", "text_hash", "n", "node")
     parts = told.filter("block is not null").select("block", "counts").repartition("block").mapInArrow(summed, "block int, counts binary")
     counts = np.zeros((CELLS // BLOCK, BLOCK), np.int64)
@@ -252,12 +265,12 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, least: int = LEAST)
 
     # Rows of one node agree in all but the text.
     nodes = told.filter("block is null and n > 0").groupBy("node")
-    chosen = staged(nodes.agg(*[F.min(x).alias(x) for x in ("text_hash", "n", "bits")]))
+    chosen = staged(nodes.agg(*[F.min(x).alias(x) for x in ("text_hash", "n", "bits", "orders")]))
 
     def likely(candidates: DataFrame) -> DataFrame:
-        left = chosen.select(F.col("node").alias("a"), "n", F.col("bits").alias("a_bits"))
-        right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("b_bits"))
-        both = candidates.join(left, "a").join(right, "b").select("a", "b", "n", "m", "a_bits", "b_bits")
+        left = chosen.select(F.col("node").alias("a"), "n", F.col("bits").alias("a_bits"), F.col("orders").alias("a_orders"))
+        right = chosen.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("b_bits"), F.col("orders").alias("b_orders"))
+        both = candidates.join(left, "a").join(right, "b").select("a", "b", "n", "m", "a_bits", "b_bits", "a_orders", "b_orders")
         return staged(both.mapInArrow(lambda x: alike(x, least), "a long, b long"))
 
     def linked(candidates: DataFrame) -> DataFrame:

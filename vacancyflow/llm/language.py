@@ -11,8 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import ArrowUDFType
 
+from vacancyflow.llm.shared import small_batches
 from vacancyflow.llm.words import chunks, mixed, split_words, vocabulary
 
 ORDER, SAMPLE_DOCS, LEFT_OUT, MOST_LANGUAGES = 4, 1500, 5, 1000
@@ -237,5 +237,6 @@ def identified(docs: DataFrame, models: Models | None, keep: tuple[str, ...] = (
             parts = [scored(part.column(0)) for part in chunks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), 0)]
             yield pa.concat_arrays(parts) if parts else pa.array([], PREDICTED_TYPE)
 
-    found = F.arrow_udf(run, PREDICTED, ArrowUDFType.SCALAR_ITER)(F.col("text"))
+    small_batches(docs.sparkSession)
+    found = F.arrow_udf(run, PREDICTED)(F.col("text"))
     return docs.select(*keep, found.alias("_found")).select(*keep, "_found.*")

@@ -23,3 +23,15 @@ def staged(rows: DataFrame) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(spark: SparkSession, most: int = 6 << 20) -> None:
+    """Lowers the session's limit on the bytes of a batch sent to Python, where it is above `most`.
+
+    A batch lies whole in a Python worker, and off the heap in the executor; at the default of 10,000 rows or
+    64 MB long texts take most of the memory there. Batches of texts beyond the limit have one row.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    told = spark.conf.get(key)
+    if not (told.isdigit() and 0 < int(told) <= most):
+        spark.conf.set(key, most)

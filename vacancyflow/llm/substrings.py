@@ -10,9 +10,8 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import ArrowUDFType
 
-from vacancyflow.llm.shared import partitions
+from vacancyflow.llm.shared import partitions, small_batches
 from vacancyflow.llm.words import chunks, give_back, mixed, run_hashes, split_words, text_hashes, vocabulary, whole_runs
 
 WINDOW, SEED = 13, 3  # words in a window and in a minimiser
@@ -209,6 +208,7 @@ def cleaned(batches: Iterator[tuple[pa.Array, pa.Array]], changed: bool) -> Iter
 
 def repeated_runs(docs: DataFrame, length: int = WINDOW, buckets: int | None = None) -> DataFrame:
     """id, tag, start and end (word places) of runs of repeated windows in `docs(id, tag, text)`."""
+    small_batches(docs.sparkSession)
     parts = partitions(docs.sparkSession)
     many = buckets or 4 * parts
     sent = docs.mapInArrow(lambda b: dealt(b, many, length), "bucket int, kind int, blob binary")
@@ -234,6 +234,10 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length
     # At most a document's own number of words.
     runs = runs.groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     joined = given.join(runs, (F.col("_id") == F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
-    clean = F.arrow_udf(lambda b: cleaned(b, changed), CLEANED, ArrowUDFType.SCALAR_ITER)
-    rows = joined.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], clean(whole, F.col("runs")).alias("_clean"))
+
+    def clean(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return cleaned(batches, changed)
+
+    found = F.arrow_udf(clean, CLEANED)(whole, F.col("runs"))
+    rows = joined.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], found.alias("_clean"))
     return rows.select(*keep, "_clean.*")
