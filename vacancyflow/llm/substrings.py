@@ -92,32 +92,32 @@ def true_runs(flags: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.flatnonzero(flags & ~before), np.flatnonzero(flags & ~after)
 
 
-def dealt(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
+def dealt(batches: Iterator[pa.RecordBatch], buckets: int, length: int, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Super-k-mers of (id, tag, text), packed by bucket, and the runs of windows that repeat inside the chunk.
 
     A window that a smaller id has in the same chunk is known to repeat and stays here, so a passage that
     many documents share leaves each chunk once. The others travel: consecutive ones that share a
     minimiser as one string of words.
     """
-    for batch in chunks(batches, 2, CHUNK_BYTES):
+    for batch in chunks(batches, 2, most):
         batch = batch.filter(pc.not_equal(batch.column(0), NO_ID))
         values, starts = split_words(batch.column(2))
         if len(values) < length:
             continue
         at, words = vocabulary(values)
         ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        owner = np.repeat(np.arange(len(ids)), np.diff(starts))
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(starts))
         inside = whole_runs(starts, length)
-        places = np.flatnonzero(inside)
+        places = np.flatnonzero(inside).astype(np.int32)
         if not len(places):
             continue
         known = np.zeros(len(inside), bool)
         known[places] = repeats(at, places, ids[owner[places]], length)
-        begin = starts[owner]  # each word's text
+        del places
         first, last = true_runs(known, starts)
         if len(first):
             o = owner[first]
-            blob = packed([ids[o], tags[o], first - begin[first], last + length - begin[first]])
+            blob = packed([ids[o], tags[o], first - starts[o], last + length - starts[o]])
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(mixed(ids[:1].astype(np.uint64))[0] % np.uint64(buckets))], pa.int32()), "kind": pa.array([RUNS], pa.int32()), "blob": pa.array([blob], pa.binary())})
         key = sliding_least(run_hashes(text_hashes(words)[at], SEED), length - SEED + 1)
         send = inside & ~known
@@ -134,7 +134,7 @@ def dealt(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Itera
         sizes = np.add.reduceat(windows + length - 1, edges)
         texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), taken), " ")
         o = owner[first]
-        columns = [ids[o], tags[o], first - begin[first], windows]
+        columns = [ids[o], tags[o], first - starts[o], windows]
         blobs = [packed([c[a:b] for c in columns], text.as_py()) for a, b, text in zip(edges, [*edges[1:], len(to)], texts, strict=True)]
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(to[edges], pa.int32()), "kind": pa.array(np.full(len(blobs), PACKED), pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
@@ -206,17 +206,17 @@ def cleaned(batches: Iterator[tuple[pa.Array, pa.Array]], changed: bool) -> Iter
         yield pa.concat_arrays(parts) if parts else pa.array([], CLEANED_TYPE)
 
 
-def repeated_runs(docs: DataFrame, length: int = WINDOW, buckets: int | None = None) -> DataFrame:
+def repeated_runs(docs: DataFrame, length: int = WINDOW, buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """id, tag, start and end (word places) of runs of repeated windows in `docs(id, tag, text)`."""
     small_batches(docs.sparkSession)
     parts = partitions(docs.sparkSession)
     many = buckets or 4 * parts
-    sent = docs.mapInArrow(lambda b: dealt(b, many, length), "bucket int, kind int, blob binary")
+    sent = docs.mapInArrow(lambda b: dealt(b, many, length, chunk_bytes), "bucket int, kind int, blob binary")
     sent = sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
     return sent.mapInArrow(lambda b: matched(b, length), "id long, tag int, start int, end int")
 
 
-def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length: int = WINDOW, buckets: int | None = None, changed: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length: int = WINDOW, buckets: int | None = None, changed: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The columns `keep` of every row of `docs(doc_id, text, ...)`, then n_words, n_removed and kept.
 
     A window is `length` consecutive words of one document. A word goes if a window that covers it has the
@@ -224,13 +224,14 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), length
     the words that stay, joined by one space. Null and empty texts have no words; rows without doc_id are
     neither smaller nor larger than others and stay whole, and rows of the same doc_id do not clean each
     other. A repeat inside one document stays. Copies of a text all go but for those of the smallest doc_id.
+    Tasks pack `chunk_bytes` of texts at a time: more send shared passages fewer times, fewer take less memory.
     With `changed`, `kept` is null where no word goes. Only texts go to Python; the columns `keep` stay.
     """
     hashed = F.xxhash64("text")
     tag = hashed.bitwiseAND(0x7FFFFFFF).cast("int").alias("tag")
     given = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("_id"), tag.alias("_tag"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], *([] if "text" in keep else [F.col("text").alias("_text")]))
     whole = F.col(f"_{keep.index('text')}" if "text" in keep else "_text")  # a text travels once
-    runs = repeated_runs(given.select(F.col("_id").alias("id"), F.col("_tag").alias("tag"), whole.alias("text")), length, buckets)
+    runs = repeated_runs(given.select(F.col("_id").alias("id"), F.col("_tag").alias("tag"), whole.alias("text")), length, buckets, chunk_bytes)
     # At most a document's own number of words.
     runs = runs.groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     joined = given.join(runs, (F.col("_id") == F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
