@@ -48,7 +48,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the words of passages seen before; a text that loses nothing stays as it is."""
-    rows = substrings.without_repeats(docs, COLUMNS, changed=True)
+    # Smaller chunks than by itself: executors keep memory of the stages before.
+    rows = substrings.without_repeats(docs, COLUMNS, changed=True, chunk_bytes=2 << 20)
     text = F.coalesce("kept", "text").alias("text")
     return rows.select("doc_id", text, "lang", "source", F.coalesce(F.length("kept").cast("long"), "n_chars").alias("n_chars"))
 
