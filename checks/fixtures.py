@@ -20,20 +20,23 @@ select page_id, html, page_id % 16 as role, page_id - page_id % 16 as grp,
 from {pages}
 """
 
+# Every other listing begins with more links than the limit of links allows.
+_MANY_LINKS = "".join(f'<li><a href="/careers/SearchJobs/more/{n}">More {n}</a></li>' for n in range(110))
 _LISTING_BODY = """concat(
   '<html><head><title>Open jobs</title></head><body><nav><a href="/careers/Login">Sign in</a>',
   '<a href="', site, '/careers/SearchJobs/">This page</a><a href="SearchJobs?page=2">Next</a><a href="  ">Blank</a>',
   '<a name="x">No link</a><a href="https://other.example.com/careers/JobDetail/T/1">Elsewhere</a></nav><ul>',
+  case when grp % 32 = 0 then '{MORE_LINKS}' else '' end,
   '<li><a href="/careers/JobDetail/T/', grp + 9, '">Job <b>', grp + 9, '</b></a></li>',
   '<li><a class="title" href="JobDetail/T/', grp + 10, '"> Job ', grp + 10, ' </a></li>',
   '<li><a href="/careers/JobDetail/T/', grp + 9, '">Once more</a></li>',
-  '<li><a href="//c', grp, '.VENDOR/careers/JobDetail/T/', grp + 13, '">', repeat('long ', 70), '</a></li>',
+  '<li><a href="//c', grp, '.VENDOR/careers/JobDetail/T/', grp + 13, '">', repeat('long ', 90), '</a></li>',
   '<li><a href="HTTPS://C', grp, '.VENDOR/careers/JobDetail/Big"></a></li>',
   '<li><a href="/careers/JobDetail/T/', grp + 15, '">Gone</a></li>',
   '<li><a href="/careers/JobDetail/T/', grp + 8, '">Known</a></li>',
   '<li><a href="/careers/team/777/view">Digits</a></li><li><a href="?jobId=', grp, '">By number</a></li>',
   '<li><a href="/careers/SearchJobs/extra">Deep search</a></li><li><a href="/about/us">About us</a></li>',
-  '</ul></body></html>')"""
+  '</ul></body></html>')""".replace("{MORE_LINKS}", _MANY_LINKS)
 
 _CARDS_BODY = """concat(
   '<html><body><div class="job-card wide"><h3>Card ', grp, '</h3><a href="/about">About</a>',
@@ -62,7 +65,7 @@ select page_id, role, grp, site, title,
   case role
     when 2 then {_LISTING_BODY}
     when 3 then {_CARDS_BODY}
-    when 7 then concat('<html><head><title> ', title, ' </title></head><body><p>Page ', page_id, '</p><p>end')
+    when 7 then concat('<html><head><title> ', title, ' </title></head><body><p>Page ', page_id, '</p><p>', case when page_id % 48 = 7 then repeat('many words ', 2000) else 'end' end)
     when 8 then replace(html, '<article>', {_APPLY})
     when 11 then replace(html, '<article>', {_APPLY})
     when 12 then replace(html, '<article>', concat('<p class="location">Town ', page_id % 5, '</p><article>'))
@@ -111,10 +114,16 @@ def _vendor(sql: str) -> str:
 
 WEB = _vendor(_WEB)
 FEEDS = _vendor(_FEEDS)
-FETCHED = f"select url, status, body from ({WEB}) web union all select url, status, body from ({FEEDS}) feeds"
+_FETCHED_ONCE = f"select page_id, url, status, body from ({WEB}) web union all select page_id, url, status, body from ({FEEDS}) feeds"
+# Some pages were fetched before, with another body, and answered although they are gone now; one was asked for
+# again and failed, then read once more.
+FETCHED = f"""
+select url, status, body, 5 as fetched_at from ({_FETCHED_ONCE}) last_fetch union all
+select url, 200 as status, replace(body, 'a', 'b') as body, 2 as fetched_at from ({_FETCHED_ONCE}) first_fetch where page_id % 3 = 0 or status = 404 union all
+select url, 503 as status, 'busy' as body, 4 as fetched_at from ({_FETCHED_ONCE}) failed_fetch where page_id % 7 = 0
+"""
 # The same with more than a hundred job links on every listing.
-_MANY_LINKS = "".join(f'<li><a href="/careers/SearchJobs/more/{n}">More {n}</a></li>' for n in range(110))
-LONG_FETCHED = f"select url, status, replace(body, '</ul></body>', '{_MANY_LINKS}</ul></body>') as body from ({FETCHED}) short"
+LONG_FETCHED = f"select url, status, fetched_at, replace(body, '</ul></body>', '{_MANY_LINKS}</ul></body>') as body from ({FETCHED}) short"
 LINKS = f"select page_id as link_seq, url from ({WEB}) web where role <= 8"
 
 # A link list with every class of link and many repeats.

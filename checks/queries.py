@@ -14,11 +14,12 @@ from vacancyflow.functions import predicates, text, urls
 from vacancyflow.functions.once import once
 from vacancyflow.operators import feeds, jobs, links, listing, pages, schema
 from vacancyflow.plans import counts, crawl, extract
-from vacancyflow.plans.staging import stage_pages, staged
+from vacancyflow.plans.staging import staged
 from vacancyflow.sinks import files
 from vacancyflow.sources import discovery, fetched
 from vacancyflow.sources import feeds as feed_source
 from vacancyflow.sources import links as link_source
+from vacancyflow.sources.wanted import WantedPages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,11 +51,14 @@ class Tables:
         read = self.spread if spread else self.given
         return self.spark.sql(sql, **{name: read(name) for name in names})
 
+    def wanted_pages(self, profile: SiteProfile = WHOLE_PROFILE) -> WantedPages:
+        return WantedPages(self.fixture(fixtures.FETCHED, spread=True), profile)
+
     def read_pages(self, profile: SiteProfile = PROFILE) -> DataFrame:
         return fetched.read_pages(self.fixture(fixtures.FETCHED, spread=True), profile)
 
     def nodes(self, sql: str = fixtures.FETCHED) -> DataFrame:
-        return fetched.page_nodes(self.fixture(sql, spread=True), PROFILE)
+        return fetched.page_nodes(self.fixture(sql, spread=True), WHOLE_PROFILE)
 
     def classes(self, sql: str = fixtures.LINKS) -> DataFrame:
         return links.classify(self.fixture(sql), PROFILE)
@@ -220,21 +224,24 @@ def site_feeds(spark, folder):
 
 @query
 def site_feed_pick(spark, folder):
-    read = Tables(spark, folder).read_pages()
-    with_links = feeds.feeds_with(read, "feed_links", PROFILE.crawl_feed_paths).where(F.size("feed_links") > 0)
+    tables = Tables(spark, folder)
+    split = urls.split_url(tables.fixture(fixtures.WEB).select("url"), "url", "site_")
+    origins = split.select(urls.origin(urls.UrlParts.columns("site_")).alias("origin")).distinct()
+    read = feeds.feeds_with(tables.wanted_pages(), "feed_links", PROFILE.crawl_feed_paths, origins)
+    with_links = read.where(F.size("feed_links") > 0)
     return feeds.first_feeds(with_links)
 
 
 @query
 def feed_links(spark, folder):
     tables = Tables(spark, folder)
-    return feeds.mined_links(_site_links(tables), tables.read_pages(), PROFILE)
+    return feeds.mined_links(_site_links(tables), tables.wanted_pages(), PROFILE)
 
 
 @query
 def all_links(spark, folder):
     tables = Tables(spark, folder)
-    found = crawl.all_links(_site_links(tables), tables.read_pages(), PROFILE)
+    found = crawl.all_links(_site_links(tables), tables.wanted_pages(), PROFILE)
     return found.orderBy(*crawl.LINK_ORDER)
 
 
@@ -273,14 +280,14 @@ def posting_filter(spark, folder):
 @query
 def hub_feed_pick(spark, folder):
     tables = Tables(spark, folder)
-    items = feeds.posting_items(tables.read_pages(), PROFILE)
-    return links.hub_origins(tables.classes()).join(feeds.first_feeds(items), "origin")
+    hubs = links.hub_origins(tables.classes())
+    return hubs.join(feeds.first_feeds(feeds.posting_items(tables.wanted_pages(), PROFILE, hubs)), "origin")
 
 
 @query
 def rss_jobs(spark, folder):
     tables = Tables(spark, folder)
-    rows = feeds.feed_jobs(links.hub_origins(tables.classes()), tables.read_pages(), PROFILE)
+    rows = feeds.feed_jobs(links.hub_origins(tables.classes()), tables.wanted_pages(), PROFILE)
     return rows.select(*flat_seq("seq.pos", *schema.JOB_KEY, "job_title", "job_description", "metadata.*", "source_url"))
 
 
@@ -313,7 +320,7 @@ def page_title(spark, folder):
 
 @query
 def page_description(spark, folder):
-    described = pages.page_description(PROFILE)
+    described = pages.page_description(WHOLE_PROFILE)
     return Tables(spark, folder).nodes().select("url", "nodes.*").select("url", described.alias("description"))
 
 
@@ -334,7 +341,7 @@ def page_metadata(spark, folder):
 
 @query
 def page_jobs(spark, folder):
-    return flat_jobs(pages.page_jobs(Tables(spark, folder).nodes(), PROFILE))
+    return flat_jobs(pages.page_jobs(Tables(spark, folder).nodes(), WHOLE_PROFILE))
 
 
 @query
@@ -368,7 +375,7 @@ def _listings(tables: Tables, sql: str = fixtures.FETCHED) -> DataFrame:
 
 @query
 def listing_links(spark, folder):
-    found = listing.listing_links(_listings(Tables(spark, folder)), PROFILE)
+    found = listing.listing_links(_listings(Tables(spark, folder)), WHOLE_PROFILE)
     return found.select("url", "job_url", "card_title")
 
 
@@ -381,7 +388,7 @@ def listing_cap(spark, folder):
 
 @query
 def listing_fallback(spark, folder):
-    found = listing.listing_links(_listings(Tables(spark, folder)), PROFILE, or_page_itself=True)
+    found = listing.listing_links(_listings(Tables(spark, folder)), WHOLE_PROFILE, or_page_itself=True)
     return found.where("card_title is null").select("url")
 
 
@@ -389,9 +396,9 @@ def listing_fallback(spark, folder):
 def listing_jobs(spark, folder):
     tables = Tables(spark, folder)
     classes = tables.classes().where("is_listing")
-    read = stage_pages(tables.read_pages())
-    targets = extract.detail_targets(classes, read, PROFILE, None)
-    return flat_jobs(extract.detail_jobs(targets, read, PROFILE))
+    read = tables.wanted_pages()
+    targets = staged(extract.detail_targets(classes, read, WHOLE_PROFILE, None))
+    return flat_jobs(extract.detail_jobs(targets, read, WHOLE_PROFILE))
 
 
 # Jobs -------------------------------------------------------------------------
@@ -437,8 +444,8 @@ def enrich_merge(spark, folder):
     return flat_jobs(merged, "seq.pass", "seq.link")
 
 
-def _pages_and_classes(tables: Tables) -> tuple[DataFrame, DataFrame]:
-    return stage_pages(tables.read_pages(WHOLE_PROFILE)), tables.classes()
+def _pages_and_classes(tables: Tables) -> tuple[WantedPages, DataFrame]:
+    return tables.wanted_pages(), tables.classes()
 
 
 @query
@@ -446,13 +453,13 @@ def enrich_targets(spark, folder):
     tables = Tables(spark, folder)
     read, classes = _pages_and_classes(tables)
     found = extract.found_jobs(classes, read, WHOLE_PROFILE, max_job_pages=None)
-    return extract.enrichment_targets(found, classes, PROFILE.max_job_pages).select("url", *flat_seq())
+    return extract.enrichment_targets(found, classes, None).select("url", *flat_seq())
 
 
 @query
 def jobs_all(spark, folder):
     tables = Tables(spark, folder)
-    read = stage_pages(tables.read_pages(WHOLE_PROFILE))
+    read = tables.wanted_pages()
     found = extract.extract_jobs(tables.fixture(fixtures.LINKS), read, WHOLE_PROFILE, max_job_pages=None)
     return flat_jobs(found, *flat_seq())
 
@@ -469,7 +476,7 @@ def jobs_json(spark, folder):
 def run_counts(spark, folder):
     tables = Tables(spark, folder)
     given = tables.fixture(fixtures.LINKS)
-    per_hub = counts.feed_counts(given, tables.read_pages(), PROFILE)
+    per_hub = counts.feed_counts(given, tables.wanted_pages(), PROFILE)
     return counts.link_counts(given, PROFILE).unionByName(
         per_hub.select(F.concat(F.lit("items of "), "url").alias("measure"), "n")
     )

@@ -9,15 +9,14 @@ from pyspark.sql import SparkSession
 
 from vacancyflow import WHOLE_PROFILE
 from vacancyflow.plans.run import crawl, run_all, run_extraction
-from vacancyflow.plans.staging import stage_pages
 from vacancyflow.sources.discovery import read_certificate_records
-from vacancyflow.sources.fetched import read_pages
+from vacancyflow.sources.wanted import WantedPages
 
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("step", choices=("crawl", "extract", "all"))
-    parser.add_argument("--fetched", required=True, help="parquet of url, status, body")
+    parser.add_argument("--fetched", required=True, help="parquet of url, status, body, and maybe fetched_at")
     parser.add_argument("--certificates", help="certificate records as JSON lines, or as one JSON array with --json-array")
     parser.add_argument("--json-array", action="store_true")
     parser.add_argument("--results", help="parquet of query, rank, href")
@@ -39,7 +38,7 @@ def main() -> None:
     fetched = spark.read.parquet(args.fetched)
     limit = args.max_pages
     if args.step == "extract":
-        pages = stage_pages(read_pages(fetched, WHOLE_PROFILE))
+        pages = WantedPages(fetched, WHOLE_PROFILE)
         output = f"{args.output_dir.rstrip('/')}/jobs"
         switches = {"fetch_rss": not args.no_rss, "fetch_job_pages": not args.no_pages, "as_array": args.as_array}
         run_extraction(spark, args.links, pages, output, max_job_pages=limit, **switches)
@@ -47,7 +46,7 @@ def main() -> None:
     certificates = read_certificate_records(spark, args.certificates, not args.json_array)
     results = spark.read.parquet(args.results)
     if args.step == "crawl":
-        pages = stage_pages(read_pages(fetched, WHOLE_PROFILE))
+        pages = WantedPages(fetched, WHOLE_PROFILE)
         switches = {"validate": not args.no_validate, "include_job_links": not args.sites_only}
         crawl(certificates, results, pages, args.output_dir, **switches)
     else:

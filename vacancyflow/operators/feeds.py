@@ -12,8 +12,10 @@ from vacancyflow.functions.predicates import is_posting
 from vacancyflow.functions.text import none_if_blank, or_default, strip
 from vacancyflow.functions.urls import UrlParts, feed_rank, host, lower_path, origin, split_url
 from vacancyflow.operators.schema import FEED_PASS, JOB_COLUMNS, metadata, seq
+from vacancyflow.plans.staging import staged
 from vacancyflow.profile import SiteProfile
 from vacancyflow.sources.feeds import with_item_fields
+from vacancyflow.sources.wanted import Pages, feeds_of
 
 
 def feed_addresses(origins: DataFrame, paths: Sequence[str]) -> DataFrame:
@@ -26,10 +28,13 @@ def feed_addresses(origins: DataFrame, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def feeds_with(pages: DataFrame, column: str, paths: Sequence[str]) -> DataFrame:
-    """Feed rows found by their own address: (origin, feed_rank, feed_url, site, scheme, column)."""
+def feeds_with(pages: Pages, column: str, paths: Sequence[str], origins: DataFrame) -> DataFrame:
+    """Feed rows found by their own address: (origin, feed_rank, feed_url, site, scheme, column).
+
+    Of pages that are yet to be read, only the addresses of `origins` are.
+    """
     url, parts = F.col("url"), UrlParts.columns("feed_")
-    split = split_url(pages.where(F.col(column).isNotNull()).select("url", column), "url", "feed_")
+    split = split_url(feeds_of(pages, feed_addresses(origins, paths), column), "url", "feed_")
     ranked = split.withColumn("feed_rank", feed_rank(url, parts, paths)).where("feed_rank > 0")
     return ranked.select(
         origin(parts).alias("origin"),
@@ -49,9 +54,9 @@ def item_link(link: Column, guid: Column, scheme: Column) -> Column:
     return F.when(link != "", link).otherwise(F.coalesce(from_guid, F.lit("")))
 
 
-def posting_items(pages: DataFrame, profile: SiteProfile) -> DataFrame:
+def posting_items(pages: Pages, profile: SiteProfile, origins: DataFrame) -> DataFrame:
     """Items that have a link and look like postings, one row each with its place in the feed."""
-    feeds = feeds_with(pages, "feed_items", profile.job_feed_paths)
+    feeds = feeds_with(pages, "feed_items", profile.job_feed_paths, origins)
     items = feeds.select("*", F.posexplode("feed_items").alias("pos", "item")).select(
         "origin", "feed_rank", "feed_url", "site", "scheme", "pos", "item.*"
     )
@@ -69,13 +74,14 @@ def first_feeds(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("origin").agg(F.min("feed_rank").alias("feed_rank"))
 
 
-def feed_jobs(hubs: DataFrame, pages: DataFrame, profile: SiteProfile) -> DataFrame:
+def feed_jobs(hubs: DataFrame, pages: Pages, profile: SiteProfile) -> DataFrame:
     """Job rows of the first productive feed of every hub origin.
 
-    `hubs` is (origin, link_seq). Items of one origin are never gathered in one task: they meet only the
+    `hubs` is (origin, link_seq). Feeds are read and their items judged once, and stored: the choice of a feed
+    reads two narrow columns of them. Items of one origin are never gathered in one task: they meet only the
     one-row-per-origin side of an equi-join, whose hot partitions can be split.
     """
-    items = posting_items(pages, profile)
+    items = staged(posting_items(pages, profile, hubs))
     chosen = hubs.join(first_feeds(items), "origin")
     rows = items.join(chosen, ["origin", "feed_rank"])
     return rows.select(
@@ -93,14 +99,14 @@ def feed_jobs(hubs: DataFrame, pages: DataFrame, profile: SiteProfile) -> DataFr
     ).select(*JOB_COLUMNS)
 
 
-def mined_links(sites: DataFrame, pages: DataFrame, profile: SiteProfile) -> DataFrame:
+def mined_links(sites: DataFrame, pages: Pages, profile: SiteProfile) -> DataFrame:
     """Vendor links in the first feed with any link of each site, without the sites themselves.
 
     Returns (url, site, pos), each link at its first place: by site in text order, then by place in the feed.
     """
-    feeds = feeds_with(pages, "feed_links", profile.crawl_feed_paths).where(F.size("feed_links") > 0)
     site_origin = origin(UrlParts.columns("site_")).alias("origin")
     by_origin = split_url(sites.select("url"), "url", "site_").groupBy(site_origin).agg(F.min("url").alias("site"))
+    feeds = staged(feeds_with(pages, "feed_links", profile.crawl_feed_paths, by_origin).where(F.size("feed_links") > 0))
     chosen = by_origin.join(first_feeds(feeds), "origin")
     links = (
         feeds.drop("site").join(chosen, ["origin", "feed_rank"])

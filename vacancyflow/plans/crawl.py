@@ -10,6 +10,7 @@ from vacancyflow.functions.urls import normalise
 from vacancyflow.operators.feeds import mined_links
 from vacancyflow.profile import WHOLE_PROFILE, SiteProfile
 from vacancyflow.sources.discovery import certificate_domains, search_bases
+from vacancyflow.sources.wanted import Pages, answered_urls
 
 LINK_ORDER = ("part", "site", "pos", "url")
 
@@ -36,15 +37,15 @@ def discovered_sites(certificates: DataFrame, results: DataFrame, profile: SiteP
     return from_domains.unionByName(from_search).select(normalise(F.col("url")).alias("url")).distinct()
 
 
-def validated(sites: DataFrame, pages: DataFrame) -> DataFrame:
-    """Sites that answered; `pages` holds answered pages, of which only the url column is read."""
-    return sites.join(pages.select("url"), "url", "left_semi")
+def validated(sites: DataFrame, pages: Pages) -> DataFrame:
+    """Sites that answered; of the pages only the url column is read."""
+    return sites.join(answered_urls(pages), "url", "left_semi")
 
 
 def career_links(
     certificates: DataFrame,
     results: DataFrame,
-    pages: DataFrame,
+    pages: Pages,
     profile: SiteProfile = WHOLE_PROFILE,
     validate: bool = True,
 ) -> DataFrame:
@@ -54,7 +55,7 @@ def career_links(
 
 
 def all_links(
-    sites: DataFrame, pages: DataFrame, profile: SiteProfile = WHOLE_PROFILE, include_job_links: bool = True
+    sites: DataFrame, pages: Pages, profile: SiteProfile = WHOLE_PROFILE, include_job_links: bool = True
 ) -> DataFrame:
     """(part, site, pos, url): the sites, then the links their feeds name; LINK_ORDER sorts them."""
     first = sites.select(F.lit(0).alias("part"), F.lit("").alias("site"), F.lit(0).alias("pos"), "url")

@@ -14,9 +14,10 @@ from vacancyflow.operators.pages import page_jobs
 from vacancyflow.operators.schema import ENRICH_PASS, JOB_COLUMNS, PAGE_PASS, seq
 from vacancyflow.plans.staging import staged
 from vacancyflow.profile import WHOLE_PROFILE, SiteProfile
+from vacancyflow.sources.wanted import Pages, nodes_of
 
 
-def detail_targets(classes: DataFrame, pages: DataFrame, profile: SiteProfile, limit: int | None) -> DataFrame:
+def detail_targets(classes: DataFrame, pages: Pages, profile: SiteProfile, limit: int | None) -> DataFrame:
     """(url, card_title, seq): the pages to take a job from.
 
     These are single job pages, the job links of listings, and listings without any. Any number of listings
@@ -30,7 +31,8 @@ def detail_targets(classes: DataFrame, pages: DataFrame, profile: SiteProfile, l
         F.lit(None).cast("string").alias("card_title"),
         seq(PAGE_PASS, F.col("link_seq"), F.lit(0)).alias("seq"),
     )
-    listings = to_read.where("is_listing").drop("is_listing").join(pages.select("url", "nodes"), "url")
+    listings = to_read.where("is_listing").drop("is_listing")
+    listings = listings.join(nodes_of(pages, listings), "url")
     listed = listing_links(listings, profile, profile.jobs_per_listing, or_page_itself=True).select(
         F.col("job_url").alias("url"), "card_title", seq(PAGE_PASS, F.col("link_seq"), F.col("pos")).alias("seq")
     )
@@ -43,9 +45,9 @@ def detail_targets(classes: DataFrame, pages: DataFrame, profile: SiteProfile, l
     )
 
 
-def detail_jobs(targets: DataFrame, pages: DataFrame, profile: SiteProfile) -> DataFrame:
+def detail_jobs(targets: DataFrame, pages: Pages, profile: SiteProfile) -> DataFrame:
     """Job rows of the target pages; a card title replaces a missing title."""
-    rows = page_jobs(targets.join(pages.select("url", "nodes"), "url"), profile)
+    rows = page_jobs(targets.join(nodes_of(pages, targets), "url"), profile)
     title = F.when(F.col("job_title") == "Untitled", F.coalesce("card_title", "job_title")).otherwise(
         F.col("job_title")
     )
@@ -68,15 +70,15 @@ def enrichment_targets(jobs: DataFrame, classes: DataFrame, limit: int | None) -
     return first_in_order(fresh, "seq", limit).groupBy("url").agg(F.min("seq").alias("seq"))
 
 
-def enrichment_rows(targets: DataFrame, pages: DataFrame, profile: SiteProfile) -> DataFrame:
+def enrichment_rows(targets: DataFrame, pages: Pages, profile: SiteProfile) -> DataFrame:
     later = seq(ENRICH_PASS, F.col("seq.link"), F.col("seq.pos"), via=F.col("seq.pass")).alias("seq")
-    rows = targets.select("url", later).join(pages.select("url", "nodes"), "url")
+    rows = targets.select("url", later).join(nodes_of(pages, targets), "url")
     return page_jobs(rows, profile).select(*JOB_COLUMNS)
 
 
 def found_jobs(
     classes: DataFrame,
-    pages: DataFrame,
+    pages: Pages,
     profile: SiteProfile = WHOLE_PROFILE,
     fetch_rss: bool = True,
     fetch_job_pages: bool = True,
@@ -87,7 +89,9 @@ def found_jobs(
     if fetch_rss:
         passes.append(feed_jobs(hub_origins(classes), pages, profile))
     if fetch_job_pages:
-        passes.append(detail_jobs(detail_targets(classes, pages, profile, max_job_pages), pages, profile))
+        # Stored, since a hop's targets name what is read and meet what was read.
+        targets = staged(detail_targets(classes, pages, profile, max_job_pages))
+        passes.append(detail_jobs(targets, pages, profile))
     if not passes:
         raise ValueError("at least one of fetch_rss and fetch_job_pages is needed")
     rows = passes[0] if len(passes) == 1 else passes[0].unionByName(passes[1])
@@ -96,21 +100,23 @@ def found_jobs(
 
 def extract_jobs(
     links: DataFrame,
-    pages: DataFrame,
+    pages: Pages,
     profile: SiteProfile = WHOLE_PROFILE,
     fetch_rss: bool = True,
     fetch_job_pages: bool = True,
     max_job_pages: int | None = None,
 ) -> DataFrame:
-    """Job rows (JOB_COLUMNS) of `links` (link_seq, url) over `pages` (see `read_pages`).
+    """Job rows (JOB_COLUMNS) of `links` (link_seq, url) over `pages`.
 
-    `max_job_pages` limits the page links and, separately, the enriched links; without it all are read.
-    `pages` and the links are read several times: see `stage_pages` and `staged`.
+    `pages` is a fetched-page table of which only wanted pages are read, hop by hop (`WantedPages`), or a table of
+    pages that were all read before (`read_pages`, stored by `stage_pages`). `max_job_pages` limits the page
+    links and, separately, the enriched links; without it all are read. The links are read several times.
     """
     classes = classify(links, profile)
     jobs = found_jobs(classes, pages, profile, fetch_rss, fetch_job_pages, max_job_pages)
     if not (fetch_rss and fetch_job_pages):
         return jobs
     jobs = staged(jobs)
-    enriched = staged(enrichment_rows(enrichment_targets(jobs, classes, max_job_pages), pages, profile))
+    targets = staged(enrichment_targets(jobs, classes, max_job_pages))
+    enriched = staged(enrichment_rows(targets, pages, profile))
     return merge_enrichment(jobs, enriched, profile)

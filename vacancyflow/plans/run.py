@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from vacancyflow.operators.jobs import with_timestamp
 from vacancyflow.plans.crawl import LINK_ORDER, all_links, career_links
 from vacancyflow.plans.extract import extract_jobs
-from vacancyflow.plans.staging import stage_pages, staged
+from vacancyflow.plans.staging import staged
 from vacancyflow.profile import WHOLE_PROFILE, SiteProfile
 from vacancyflow.sinks.files import data_folder, write_job_array, write_jobs, write_links
-from vacancyflow.sources.fetched import read_pages
 from vacancyflow.sources.links import load_links
+from vacancyflow.sources.wanted import Pages, WantedPages
 
 log = logging.getLogger(__name__)
 
@@ -28,7 +28,7 @@ def default_links(output_dir: str = "data") -> list[str]:
 def crawl(
     certificates: DataFrame,
     results: DataFrame,
-    pages: DataFrame,
+    pages: Pages,
     output_dir: str = "data",
     profile: SiteProfile = WHOLE_PROFILE,
     validate: bool = True,
@@ -49,7 +49,7 @@ def crawl(
 def run_extraction(
     spark: SparkSession,
     link_files: Sequence[str] | None,
-    pages: DataFrame,
+    pages: Pages,
     output: str = "data/jobs",
     profile: SiteProfile = WHOLE_PROFILE,
     fetch_rss: bool = True,
@@ -86,11 +86,11 @@ def run_all(
     profile: SiteProfile = WHOLE_PROFILE,
     max_job_pages: int | None = None,
 ) -> str | None:
-    """Crawl, then extract from the seed files, all links and career links; bodies are scanned once.
+    """Crawl, then extract from the seed files, all links and career links; only wanted pages are taken apart.
 
     The seed links are the data folder's `initial_links.txt` unless files are given.
     """
-    pages = stage_pages(read_pages(fetched, profile))
+    pages = WantedPages(fetched, profile)
     career, everything = crawl(certificates, results, pages, output_dir, profile)
     seeds = default_links(output_dir)[:1] if seed_files is None else seed_files
     link_files = [*seeds, everything, career]
