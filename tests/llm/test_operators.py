@@ -434,3 +434,46 @@ def test_near_pairs(spark):
     sets = {r.doc_id: set(r.s) for r in documents(spark, rows).select("doc_id", fingerprints.signatures(F.col("text")).alias("s")).collect()}
     expected = {frozenset((by_class[a], by_class[b])) for a, b in itertools.combinations(sets, 2) if by_class[a] != by_class[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert {frozenset((r.first, r.second)) for r in pairs.collect()} == expected and by_class[0] == by_class[9]
+
+
+def unigram_model(prefix=True, extra=True):
+    """The bytes of a small unigram model: byte fallback, a user piece, a piece across words if `prefix`."""
+
+    def varint(n):
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    def field(number, value):
+        if isinstance(value, bytes):
+            return varint(number << 3 | 2) + varint(len(value)) + value
+        if isinstance(value, float):
+            return varint(number << 3 | 5) + np.array([value], "<f4").tobytes()
+        return varint(number << 3) + varint(value)
+
+    plain = ["▁", "a", "b", "c", "d", "▁a", "ab", "▁ab", "abc", "▁the", "t", "h", "e", "▁▁", "cd", *(["c▁d"] if prefix else [])]
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), ("<user>", 0.0, 4)]
+    pieces += [(f"<0x{i:02X}>", -20.0, 6) for i in range(256)] + [(p, -1.0 - i / 7, 1) for i, p in enumerate(plain)]
+    out = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in pieces)
+    trainer = field(3, 1) + field(35, 1) + field(40, 0) + field(41, 1) + field(42, 2)
+    normaliser = field(1, b"identity") + field(3, 1) + field(4, int(extra)) + field(5, 1)
+    return out + field(2, trainer) + field(3, normaliser)
+
+
+@pytest.mark.parametrize("prefix", [False, True])
+@pytest.mark.parametrize("extra", [False, True])
+def test_unigram_pieces_equal_the_model_library(spark, rows, tmp_path, prefix, extra):
+    import sentencepiece
+
+    model = unigram_model(prefix, extra)
+    (tmp_path / "small.model").write_bytes(model)
+    peer = sentencepiece.SentencePieceProcessor(model_proto=model)
+    texts = ["abc the ab cd", "c d abcd", "  the  abc ", "éü 中 🙂", "", None, "the " * 50, "x" * 40, "ab\ncd\tthe"]
+    table = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    found = pieces.encoded(table, str(tmp_path / "small.model")).select("doc_id", "pieces.*").collect()
+    for r in found:
+        assert r.ids == peer.encode(texts[r.doc_id] or ""), texts[r.doc_id]
+        assert r.parity
+    assert pieces.encoded(documents(spark, []), str(tmp_path / "small.model")).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,11 +14,33 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of `make()`, stored; what it stored on the way is removed once they are."""
+    _SCOPES.append([])
+    try:
+        rows = make()
+        folder = shared_folder(spark)
+        rows.write.parquet(folder)
+    finally:
+        passing = _SCOPES.pop()
+    for name in passing:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def staged(rows: DataFrame) -> DataFrame:
     """`rows` written once and read back: the lineage ends at files that outlive lost executors, and values
     that depend on a row's place, such as partition numbers, are fixed from here on."""
     folder = shared_folder(rows.sparkSession)
     rows.write.parquet(folder)
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
