@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vacancyflow.llm import jaccard, language, mixing, pieces, substrings
 from vacancyflow.llm.queries import PIECE_MODEL, fold
-from vacancyflow.llm.shared import staged
+from vacancyflow.llm.shared import settled, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -33,7 +33,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents without words are in no group and all stay. Of rows equal in doc_id and text one stays.
     """
-    found = staged(jaccard.near_duplicates(docs))
+    found = settled(spark, lambda: jaccard.near_duplicates(docs))
     order = F.struct(F.col("id") == jaccard.NO_ID, F.col("id"), F.col("text_hash"))
     first = found.filter("label is not null").groupBy("label").agg(F.min(order).alias("f")).select("f.id", "f.text_hash")
     alone = found.filter("label is null").select("id", "text_hash").distinct()
@@ -49,7 +49,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the words of passages seen before; a text that loses nothing stays as it is."""
     # Smaller chunks than by itself: executors keep memory of the stages before.
-    rows = substrings.without_repeats(docs, COLUMNS, changed=True, chunk_bytes=2 << 20)
+    rows = substrings.without_repeats(docs, COLUMNS, changed=True, chunk_bytes=3 << 20)
     text = F.coalesce("kept", "text").alias("text")
     return rows.select("doc_id", text, "lang", "source", F.coalesce(F.length("kept").cast("long"), "n_chars").alias("n_chars"))
 
