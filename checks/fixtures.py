@@ -78,10 +78,11 @@ from ({_ROLES}) roles
 _ITEM = (
     "'<item><title>', title, '</title><link>', site, '/careers/JobDetail/T/', grp + {n}, "
     "'</link><guid>job-', grp + {n}, '</guid><pubDate>Mon, 0{d} Jan 2024</pubDate>"
-    "<description><![CDATA[<p>About job ', grp + {n}, '</p>', {more}, ']]></description></item>',"
+    "<description>{intro}<![CDATA[<p>About job ', grp + {n}, '</p>', {more}, ']]></description></item>',"
 )
+_INTRO = 'Read <i title="now">on <b>or </b></i>off: '
 _NO_MORE = "''"
-_GUID_ITEM = "'<item><title>By guid</title><link></link><guid>//c', grp, '.VENDOR/careers/JobDetail/G/', grp, '</guid></item>',"
+_GUID_ITEM = "'<item><title>By <b>guid</b>, not <i>link</i></title><link></link><guid>//c', grp, '.VENDOR/careers/JobDetail/G/', grp, '</guid></item>',"
 _OTHER_ITEMS = (
     "'<item><title>News</title><link>https://www.VENDOR/blogs/', grp, '/</link></item>"
     "<item><title>Our test-cookies story</title><link>', site, '/careers/story</link></item>"
@@ -99,11 +100,11 @@ select page_id, role, grp, site,
     when role = 0 then concat('<rss><channel><title>Blog</title><item><title>Post</title><link>https://www.VENDOR/blogs/', page_id,
       '/</link></item><item><title>', title, '</title><link>', site, '/news/', page_id, '</link></item></channel></rss>')
     when role = 1 then concat('<rss xmlns:atom="a"><channel><atom:link href="', site, '/careers/rss" rel="self"/>',
-      {_ITEM.format(n=10, d=1, more=_NO_MORE)} {_ITEM.format(n=11, d=2, more=_NO_MORE)}
-      {_ITEM.format(n=12, d=3, more="case when grp % 64 = 0 then repeat('more words ', 3000) else '' end")}
+      {_ITEM.format(n=10, d=1, intro="", more=_NO_MORE)} {_ITEM.format(n=11, d=2, intro=_INTRO, more=_NO_MORE)}
+      {_ITEM.format(n=12, d=3, intro="", more="case when grp % 64 = 0 then repeat('more words ', 3000) else '' end")}
       {_GUID_ITEM} {_OTHER_ITEMS} case when grp % 3 = 1 then '<item><title>cut' else '</channel></rss>' end)
     else concat('<rdf:RDF xmlns:rdf="r"><channel><title>Jobs</title></channel>',
-      {_ITEM.format(n=12, d=4, more=_NO_MORE)} '</rdf:RDF>') end as body
+      {_ITEM.format(n=12, d=4, intro="", more=_NO_MORE)} '</rdf:RDF>') end as body
 from ({_ROLES}) roles where role in (0, 1, 2)
 """
 

@@ -19,6 +19,10 @@ DOCUMENTS = {
     "mixed depth": ("<rss><channel><item><title>A</title></item><group><item><title>B</title></item></group><item/></channel></rss>", [("A", "", "", ""), ("B", "", "", ""), ("", "", "", "")]),
     "no items inside": ("<rss><channel><note><![CDATA[<item><title>N</title></item>]]></note><!-- <item><title>C</title></item> --><item><title>A</title></item></channel></rss>", [("A", "", "", "")]),
     "empty item": ("<rss><channel><item/></channel></rss>", [("", "", "", "")]),
+    "markup": ("<rss><channel><item><title> A <b x='1&gt;0' y='&quot;'>B &amp; &lt;i> </b> C</title><description>p<!-- c -->q<br/>r<![CDATA[<p>s</p>]]> <i><b> t</b></i> </description><guid><![CDATA[<a>]]></guid></item></channel></rss>", [("AB & <i>  C", "", "pqr<p>s</p>  t", "<a>")]),
+    "sections": ("<rss><channel><item><title><![CDATA[a <![CDATA[ b]]]]>&gt;<![CDATA[<x> & \"y\"]]></title><!-- <![CDATA[ --><description>&#60;p>&#x3C;/p> <![CDATA[]]></description></item></channel></rss>", [('a <![CDATA[ b]]><x> & "y"', "", "<p></p>", "")]),
+    "references": ("<rss><channel><item><title>&#60;p>&#x3c;/p></title><description><u>all</u> of <u>it</u></description></item></channel></rss>", [("<p></p>", "", "all of it", "")]),
+    "deep markup": ("<rss><channel><group><item><title><b>D</b> <![CDATA[<item>]]></title></item></group></channel></rss>", [("D <item>", "", "", "")]),
     "cut": ("<rss><channel><item><title>T</title></item><item><title>x", []),
     "entity": ("<rss><channel><item><title>T&nbsp;</title></item></channel></rss>", []),
     "no xml": ("hello", []),

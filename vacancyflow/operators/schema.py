@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 FEED_PASS, PAGE_PASS, ENRICH_PASS = 1, 2, 3
 
 METADATA_FIELDS = ("date_posted", "job_id", "source_feed", "source_page", "location")
+# What a job from a feed has, known or not.
+FEED_FIELDS = ("date_posted", "job_id", "source_feed")
 JOB_KEY = ("source_site", "application_url")
 JOB_PAYLOAD = ("job_title", "job_description", "metadata", "source_url")
 JOB_COLUMNS = ("seq", *JOB_KEY, *JOB_PAYLOAD)

@@ -8,7 +8,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancyflow.operators.schema import JOB_COLUMNS
+from vacancyflow.operators.schema import FEED_FIELDS, FEED_PASS, METADATA_FIELDS
 
 _OUTPUT_ORDER = ("job_title", "job_description", "application_url", "metadata", "source_site", "source_url")
 
@@ -24,11 +24,21 @@ def write_links(links: DataFrame, path: str, order: Sequence[str] = ("url",)) ->
 
 
 def _records(jobs: DataFrame) -> DataFrame:
+    """(seq, job), with metadata as a map of the fields that a job has.
+
+    A job that a feed gave has all fields of a feed, known or not; of the others only known ones are there.
+    """
+    pairs = [part for name in METADATA_FIELDS for part in (F.lit(name), F.col(f"metadata.{name}"))]
+    from_feed = F.col("seq.pass") == FEED_PASS
+    fields = F.map_filter(
+        F.create_map(*pairs), lambda name, value: value.isNotNull() | (from_feed & name.isin(*FEED_FIELDS))
+    )
+    jobs = jobs.withColumn("metadata", fields)
     return jobs.select("seq", F.struct(*[n for n in (*_OUTPUT_ORDER, "extracted_at") if n in jobs.columns]).alias("job"))
 
 
 def write_jobs(jobs: DataFrame, path: str) -> None:
-    """JSON lines in processing order, without absent fields."""
+    """JSON lines in processing order, without absent fields; unknown ones of a feed are null."""
     _records(jobs).orderBy("seq").select("job.*").write.mode("overwrite").json(path, ignoreNullFields=True)
 
 
@@ -51,6 +61,3 @@ def job_array_lines(jobs: DataFrame) -> DataFrame:
 def write_job_array(jobs: DataFrame, path: str) -> None:
     """The same jobs as one JSON array, spread over part files: concatenated in order they are the array."""
     job_array_lines(jobs).orderBy("part", "seq").select("value").write.mode("overwrite").text(path)
-
-
-__all__ = ["JOB_COLUMNS", "data_folder", "job_array_lines", "write_job_array", "write_jobs", "write_links"]
