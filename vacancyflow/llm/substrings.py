@@ -177,6 +177,9 @@ def matched(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             held.append((columns, text))
     if held:
         yield close()
+        held = []
+    # The worker goes on to other tasks, and idles through stages without Python.
+    give_back()
 
 
 def cleaned(batches: Iterator[tuple[pa.Array, pa.Array]], changed: bool) -> Iterator[pa.Array]:

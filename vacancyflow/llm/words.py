@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,12 @@ def give_back() -> None:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: int, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose texts have about `most` bytes; a longer text is a slice of its own."""
+    """Slices of the batches whose texts have about `most` bytes; a longer text is a slice of its own.
+
+    What the worker's task before has left is returned first.
+    """
+    gc.collect()
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
