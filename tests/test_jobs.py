@@ -75,7 +75,31 @@ def test_merge_equals_replay(spark, seed):
     }
 
 
+def aggregates_over(frame, name):
+    """The aggregates of the plan whose functions mention a column."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Aggregate" in line and name in line]
+
+
 def test_first_wins_reduces_before_the_shuffle(spark):
-    plan = first_wins(frame(spark, random_rows(0, 20)))._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    chosen = first_wins(frame(spark, random_rows(0, 20)))
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
     assert "Window" not in plan
+    assert not aggregates_over(chosen, "job_description")
+
+
+def test_texts_stay_out_of_aggregates(spark):
+    rows = random_rows(1, 40)
+    found = first_wins(accepted(frame(spark, [r for r in rows if r[0] == 1]), PROFILE))
+    merged = merge_enrichment(found, frame(spark, [r for r in rows if r[0] == 3]), PROFILE)
+    assert aggregates_over(merged, "application_url")
+    for text in ("job_description", "job_title"):
+        assert not aggregates_over(merged, text)
+
+
+def test_no_description_is_the_shortest(spark):
+    place = ("s0", "https://h.example/careers/x")
+    rows = [(1, 1, *place, "T", None, None, None, "u1"), (3, 2, *place, "U", "text", None, None, "u2")]
+    merged = merge_enrichment(frame(spark, rows[:1]), frame(spark, rows[1:]), PROFILE).collect()
+    assert [(r.job_title, r.job_description, r.source_url) for r in merged] == [("T", "text", "u1")]

@@ -9,7 +9,7 @@ from vacancyflow.functions.once import once
 from vacancyflow.functions.predicates import SIGN_IN_SIZES, has_barred_url, is_login_wall, is_posting
 from vacancyflow.functions.text import strip
 from vacancyflow.functions.urls import UrlParts, host, lower_path, split_url
-from vacancyflow.operators.schema import JOB_COLUMNS, JOB_KEY, JOB_PAYLOAD, METADATA_FIELDS
+from vacancyflow.operators.schema import JOB_COLUMNS, JOB_KEY, METADATA_FIELDS
 from vacancyflow.profile import SiteProfile
 
 
@@ -40,12 +40,12 @@ def accepted(rows: DataFrame, profile: SiteProfile) -> DataFrame:
 def first_wins(rows: DataFrame) -> DataFrame:
     """The earliest row of each (source_site, application_url).
 
-    An aggregate, not a window: each task first reduces a hot key to one row.
+    An aggregate over keys and places, not a window: each task first reduces a hot key to one row. The texts
+    are fetched by place afterwards, so only winners' texts meet anything, and a hot key's rows lie apart.
+    The rows are read twice.
     """
-    payload = F.min_by(F.struct(*JOB_PAYLOAD), F.col("seq")).alias("row")
-    return rows.groupBy(*JOB_KEY).agg(F.min("seq").alias("seq"), payload).select(
-        "seq", *JOB_KEY, *[f"row.{name}" for name in JOB_PAYLOAD]
-    )
+    winners = rows.groupBy(*JOB_KEY).agg(F.min("seq").alias("seq")).select("seq")
+    return rows.select(*JOB_COLUMNS).join(winners, "seq", "left_semi")
 
 
 def merge_enrichment(jobs: DataFrame, enriched: DataFrame, profile: SiteProfile) -> DataFrame:
@@ -55,42 +55,46 @@ def merge_enrichment(jobs: DataFrame, enriched: DataFrame, profile: SiteProfile)
     rows after it are merged in whether acceptable or not: the longest description wins and the earlier one
     on a tie, and the latest known value of each metadata field wins. Enrichment rows before it are void.
 
-    Only a rejected enrichment row has to be compared with its job's place, so only those are joined; the
-    merge itself is one aggregate that reduces hot keys before the shuffle.
+    Only a rejected enrichment row has to be compared with its job's place, so only those are joined. What
+    wins is found on keys, places and lengths, in an aggregate that reduces hot keys before the shuffle; titles
+    and descriptions are fetched by place afterwards. Both inputs are read several times.
     """
-    judged = with_acceptance(enriched, profile)
-    good = judged.where("acceptable")
-    candidates = jobs.select(*JOB_COLUMNS).unionByName(good.select(*JOB_COLUMNS))
+    judged = _narrow(with_acceptance(enriched, profile), "acceptable")
+    good = judged.where("acceptable").drop("acceptable")
+    candidates = _narrow(jobs).unionByName(good)
     inserted = candidates.groupBy(*JOB_KEY).agg(F.min("seq").alias("job_seq"))
     # A barred URL bars every row of its key, so no such key has a job to merge into.
     rejected = judged.where("not acceptable").where(~has_barred_url(F.col("application_url"), profile))
-    late = rejected.join(inserted, list(JOB_KEY)).where("seq > job_seq").select(*JOB_COLUMNS)
-    return _merge(candidates.unionByName(late))
+    late = rejected.join(inserted, list(JOB_KEY)).where("seq > job_seq").select(*candidates.columns)
+    return _merge(candidates.unionByName(late), jobs.select(*JOB_COLUMNS).unionByName(enriched.select(*JOB_COLUMNS)))
+
 
+def _narrow(rows: DataFrame, *more: str) -> DataFrame:
+    """Rows without their texts: places, keys, lengths and metadata. No description is one of no length."""
+    size = F.coalesce(F.length("job_description"), F.lit(0)).alias("size")
+    return rows.select("seq", *JOB_KEY, size, "metadata", *more)
 
-def _merge(rows: DataFrame) -> DataFrame:
+
+def _merge(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """One row per key of the narrow `rows`; `texts` has the job rows of all their places."""
     order = F.col("seq")
-    description = F.col("job_description")
     fields = [
         F.max_by(F.col(f"metadata.{name}"), F.when(F.col(f"metadata.{name}").isNotNull(), order)).alias(name)
         for name in METADATA_FIELDS
     ]
-    return (
-        rows.groupBy(*JOB_KEY)
-        .agg(
-            F.min("seq").alias("seq"),
-            F.min_by(F.struct("job_title", "source_url"), order).alias("job"),
-            F.min_by(description, F.struct(-F.length(description), order)).alias("job_description"),
-            *fields,
-        )
-        .select(
-            "seq",
-            *JOB_KEY,
-            "job.job_title",
-            "job_description",
-            F.struct(*METADATA_FIELDS).alias("metadata"),
-            "job.source_url",
-        )
+    winners = rows.groupBy(*JOB_KEY).agg(
+        F.min("seq").alias("seq"), F.min_by(order, F.struct(-F.col("size"), order)).alias("longest"), *fields
+    )
+    firsts = texts.select("seq", "job_title", "source_url")
+    longest = texts.select(F.col("seq").alias("longest"), "job_description")
+    merged = winners.join(firsts, "seq").join(longest, "longest")
+    return merged.select(
+        "seq",
+        *JOB_KEY,
+        "job_title",
+        "job_description",
+        F.struct(*METADATA_FIELDS).alias("metadata"),
+        "source_url",
     )
 
 

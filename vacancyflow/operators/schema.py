@@ -2,7 +2,8 @@
 
 `seq` is processing order: (pass, via, link, pos), where `link` is the order of the link a row came from,
 `pos` its place within that link and `via` the pass of the job an enrichment row belongs to.
-First-wins rules, limits and merges all compare `seq`; nothing is ever numbered globally.
+First-wins rules, limits and merges all compare `seq`; nothing is ever numbered globally. No two rows share
+a `seq`, so the texts of a chosen row are found by it.
 """
 
 from __future__ import annotations

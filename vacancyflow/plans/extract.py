@@ -84,7 +84,10 @@ def found_jobs(
     fetch_job_pages: bool = True,
     max_job_pages: int | None = None,
 ) -> DataFrame:
-    """Accepted jobs of the feed pass and the page pass, first one per key."""
+    """Accepted jobs of the feed pass and the page pass, first one per key.
+
+    The accepted rows are stored with their texts, once; the choice reads only their keys and places.
+    """
     passes = []
     if fetch_rss:
         passes.append(feed_jobs(hub_origins(classes), pages, profile))
@@ -95,7 +98,7 @@ def found_jobs(
     if not passes:
         raise ValueError("at least one of fetch_rss and fetch_job_pages is needed")
     rows = passes[0] if len(passes) == 1 else passes[0].unionByName(passes[1])
-    return first_wins(accepted(rows, profile))
+    return first_wins(staged(accepted(rows, profile)))
 
 
 def extract_jobs(
