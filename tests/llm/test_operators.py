@@ -399,6 +399,40 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.scored(docs, None).collect()} == {0.0}
 
 
+def test_toxicity_counts_copies_once(spark):
+    copies = [(f"alpha beta{i % 3} gamma", 1) for i in range(60)] + [(f"delta bad{'' if i % 2 else 'ly'} w{i}", 1) for i in range(10)]
+    found = toxicity.counted(spark.createDataFrame([*copies, ("alpha x", 0), (None, 0), ("", 0)], "text string, toxic int"))
+    rows = {r.segment: (r.toxic, r.ordinary) for r in found.collect()}
+    assert rows["alpha"] == (3, 1)  # 60 documents, three contexts
+    assert rows["gamma"] == (3, 0) and rows["beta0"] == (1, 0)
+    assert rows["bad"] == (5, 0) and rows["delta"] == (2, 0)
+    assert toxicity.counted(spark.createDataFrame([], "text string, toxic int")).count() == 0
+
+
+def test_toxicity_with_odd_labels(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(240):
+        text = prose(i, 80, 300).split()
+        if i % 2:
+            for _ in range(8):
+                text[rng.randrange(80)] = "horridword"
+        rows.append((i, " ".join(text), "en", "s"))
+        labels.append((i, i % 2))
+    # A document of both labels, one of an unknown label, one of none, a repeated row, a very long text.
+    rows += [rows[1], (300, None, "en", "s"), (301, (prose(3, 10, 300) + " horridword ") * 2000, "en", "s"), (302, "", "en", "s")]
+    marks = spark.createDataFrame([*labels, (4, 1), (6, None), (8, 7), (301, 1), (301, 1)], "doc_id long, toxic int")
+    docs = documents(spark, rows)
+    model = toxicity.trained(docs, marks, F.lit(True))
+    found = [(r.doc_id, r.predicted, r.score) for r in toxicity.scored(docs, model).collect()]
+    assert Counter(d for d, *_ in found) == Counter(d for d, *_ in rows)
+    by_id = {d: (predicted, score) for d, predicted, score in found}
+    assert by_id[301][0] == 1 and by_id[300] == by_id[302]
+    # As many toxic as ordinary documents: without evidence a text is not toxic.
+    assert by_id[300][0] == 0 and by_id[300][1] < 0.5
+    assert sum(by_id[d][0] == t for d, t in labels) >= 0.95 * len(labels)
+
+
 def test_fingerprints(spark, rows):
     found = fingerprints.fingerprints(documents(spark, rows)).collect()
     order = sorted({(d, t or "") for d, t, *_ in rows}, key=lambda x: (x[0] is not None, x[0] or 0))
