@@ -102,8 +102,8 @@ class Classifier:
         import zstandard
 
         settings = zstandard.ZstdCompressionParameters(
-            strategy=zstandard.STRATEGY_BTULTRA, min_match=3, window_log=max(13, math.ceil(math.log2(2 * len(self.toxic) + 4096))),
-            hash_log=14, chain_log=14, search_log=6, target_length=64, write_content_size=False, write_checksum=False, write_dict_id=False,
+            strategy=zstandard.STRATEGY_BTULTRA, min_match=4, window_log=max(13, math.ceil(math.log2(2 * len(self.toxic) + 4096))),
+            hash_log=13, chain_log=13, search_log=5, target_length=16, write_content_size=False, write_checksum=False, write_dict_id=False,
         )
         dictionaries = [zstandard.ZstdCompressionDict(x, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for x in (self.ordinary, self.toxic)]
         return [zstandard.ZstdCompressor(dict_data=d, compression_params=settings) for d in dictionaries]
