@@ -343,6 +343,25 @@ def test_pieces_equal_the_model_library(spark, rows):
         assert r.ids_sha256 == hashlib.sha256(np.array(r.ids, "<i4").tobytes()).hexdigest()
 
 
+def test_the_model_library_is_asked_for_every_whole_text():
+    """Ids that differ only in texts of several words are told; repeated texts and words are asked for again."""
+    with open(PIECE_MODEL, "rb") as file:
+        model = file.read()
+    coder, asked = pieces.Pieces(model, pieces.parsed(model)), []
+    real = coder.peer
+
+    class Turned:
+        def encode(self, texts, **options):
+            asked.extend(texts)
+            return [ids[::-1] if " " in text else ids for text, ids in zip(texts, real.encode(texts, **options), strict=True)]
+
+    coder.peer = Turned()
+    texts = ["one two three", "word", "", "one two three", "  two  spaces", "word", "long " * (pieces.SLICE_CHARS // 4) + "end"]
+    told = coder.encode(texts)
+    assert asked == texts and [same for _, same, _ in told] == [" " not in x for x in texts]
+    assert [ids.tolist() for ids, *_ in told] == real.encode(texts)
+
+
 def test_language(spark):
     english, german = prose(1, 4000, 300), prose(1, 4000, 300).translate(str.maketrans("abcdeé", "uvwxyö"))
     cut = lambda text, n: [" ".join(text.split()[i : i + n]) for i in range(0, 4000, n)]

@@ -9,7 +9,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from vacancyflow.llm.shared import small_batches
@@ -113,8 +112,6 @@ class Pieces:
         self.charsmap = normalizers.Precompiled(spec["charsmap"]) if spec["charsmap"] else None
         kinds = [p[2] for p in spec["pieces"]]
         self.table = pa.array([bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else p.replace(MARK, " ").encode() for p, k in zip(pieces, kinds, strict=True)], pa.large_binary())
-        # Where no piece has a mark behind another character, ids of words strung together are those of the text.
-        self.by_word = spec["dummy_prefix"] and not any(MARK in p.lstrip(MARK) for p, k in zip(pieces, kinds, strict=True) if k in (NORMAL, USER))
         self.peer = sentencepiece.SentencePieceProcessor(model_proto=model)
 
     def normalised(self, text: str) -> str:
@@ -127,41 +124,14 @@ class Pieces:
         return text.replace(" ", MARK)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool, str]]:
-        """The ids of each text, whether the model's own library gives the same, and the normalised text."""
+        """The ids of each text, whether the model's own library, given the whole text, gives the same, and the normalised text."""
         normal = [self.normalised(x) for x in texts]
-        mine = []
+        out = []
         for part in slices(normal, SLICE_CHARS):
-            # What the library returns is far larger than the ids, so only ids are kept of each slice.
-            mine += [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-        theirs = self.peer_ids(texts, normal)
-        return [(a, np.array_equal(a, b), x) for a, b, x in zip(mine, theirs, normal, strict=True)]
-
-    def peer_ids(self, texts: list[str], normal: list[str]) -> list[np.ndarray]:
-        """The ids that the model's own library gives.
-
-        It is asked once for each different word of the batch where the model allows it; texts with runs of
-        spaces or a space at the end, and all texts under other models, are asked for whole.
-        """
-        out = [np.zeros(0, np.int32)] * len(texts)
-        split = [self.by_word and x.startswith(MARK) and not x.endswith(MARK) and MARK * 2 not in x for x in normal]
-        whole = [i for i, by_word in enumerate(split) if not by_word]
-        for i, ids in zip(whole, self.peer.encode([texts[i] for i in whole], num_threads=self.threads), strict=True):
-            out[i] = np.array(ids, np.int32)
-        at = [i for i, by_word in enumerate(split) if by_word]
-        if not at:
-            return out
-        lists = pc.split_pattern(pa.array([normal[i][1:] for i in at], pa.large_string()), MARK)
-        coded = lists.flatten().dictionary_encode()
-        word = coded.indices.to_numpy()
-        told = self.peer.encode(coded.dictionary.to_pylist(), num_threads=self.threads)
-        size = np.fromiter(map(len, told), np.int64, len(told))
-        flat = np.fromiter((i for ids in told for i in ids), np.int32, int(size.sum()))
-        begin, n = (np.cumsum(size) - size)[word], size[word]
-        before = np.concatenate([[0], np.cumsum(n)])
-        strung = flat[np.repeat(begin - before[:-1], n) + np.arange(before[-1])]
-        edges = before[np.asarray(lists.offsets, dtype=np.int64)]
-        for i, a, b in zip(at, edges[:-1], edges[1:], strict=True):
-            out[i] = strung[a:b]
+            # What the libraries return is far larger than the ids, so only ids are kept of each slice.
+            mine = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            theirs = self.peer.encode(texts[len(out) : len(out) + len(part)], num_threads=self.threads)
+            out += [(np.array(a, np.int32), a == b, x) for a, b, x in zip(mine, theirs, part, strict=True)]
         return out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
