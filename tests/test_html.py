@@ -130,6 +130,40 @@ def as_nodes(spark):
     return make
 
 
+def test_a_large_batch_is_read_in_slices(spark):
+    """What is held beside the batch does not grow with it; a page above the limit is alone, and rows keep their order."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from vacancyflow.sources.html import _SLICE_BYTES, page_nodes_udf
+
+    run = page_nodes_udf(PROFILE).func
+    page = "<title>{0}</title><article>" + ("<p>" + "text of page {0} " * 40) * 15
+    bodies = [None if n % 50 == 7 else "" if n % 50 == 8 else page.format(n) for n in range(1000)]
+    bodies[333] = "<h1>333</h1>" + "x" * 2 * _SLICE_BYTES
+    batch = pa.array(bodies), pa.array([n % 3 == 0 for n in range(1000)])
+    tracemalloc.start()
+    try:
+        found = []
+        for part in run(iter([batch, (pa.array([], pa.string()), pa.array([], pa.bool_()))])):
+            found += [(node["title_tag"].as_py(), [t.as_py() for t in node["titles"]]) if node.is_valid else None for node in part]
+            del part
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    expected = [body if body is None else (None, []) if body == "" else (str(n), []) for n, body in enumerate(bodies)]
+    expected[333] = (None, ["333"])
+    assert found == expected
+    assert most < 6 * _SLICE_BYTES and sum(len(body or "") for body in bodies) > 10 * _SLICE_BYTES
+
+
+def test_slices_of_a_batch_come_back_to_their_rows(as_nodes):
+    bodies = {f"https://h.example/{n}": None if n % 40 == 3 else f"<h1>{n}</h1><p>{'text ' * 9000}" for n in range(160)}
+    found = as_nodes(bodies).coalesce(1).select("url", F.get("nodes.titles", 0).alias("title")).collect()
+    assert {r.url: r.title for r in found} == {url: body and url.rsplit("/", 1)[1] for url, body in bodies.items()}
+
+
 def test_page_jobs(as_nodes):
     long = "long " * 30
     bodies = {
