@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 
 from vacancyflow.llm import jaccard, language, mixing, pieces, substrings
 from vacancyflow.llm.queries import PIECE_MODEL, fold
-from vacancyflow.llm.shared import settled, staged
+from vacancyflow.llm.shared import settled, small_batches, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Executors keep memory of the stages before, so batches are smaller than the operators' own.
+BATCH_BYTES = 3 << 20
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the models know; null texts and texts without letters go, in whatever `lang`."""
+    small_batches(spark, BATCH_BYTES)
     models = language.trained(docs, fold("doc_id", 4) != 2)
     return language.identified(docs, models, COLUMNS).filter(~F.col("rejected")).select(*COLUMNS)
 
@@ -33,6 +36,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents without words are in no group and all stay. Of rows equal in doc_id and text one stays.
     """
+    small_batches(spark, BATCH_BYTES)
     found = settled(spark, lambda: jaccard.near_duplicates(docs))
     order = F.struct(F.col("id") == jaccard.NO_ID, F.col("id"), F.col("text_hash"))
     first = found.filter("label is not null").groupBy("label").agg(F.min(order).alias("f")).select("f.id", "f.text_hash")
@@ -48,8 +52,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the words of passages seen before; a text that loses nothing stays as it is."""
-    # Smaller chunks than by itself: executors keep memory of the stages before.
-    rows = substrings.without_repeats(docs, COLUMNS, changed=True, chunk_bytes=3 << 20)
+    small_batches(spark, BATCH_BYTES)
+    rows = substrings.without_repeats(docs, COLUMNS, changed=True, chunk_bytes=BATCH_BYTES // 2)
     text = F.coalesce("kept", "text").alias("text")
     return rows.select("doc_id", text, "lang", "source", F.coalesce(F.length("kept").cast("long"), "n_chars").alias("n_chars"))
 
@@ -71,6 +75,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_tokens, ids_sha256, round_trip and parity of every document."""
+    small_batches(spark, BATCH_BYTES)
     rows = pieces.encoded(docs, PIECE_MODEL, ("doc_id", "lang", "source"))
     return rows.select("doc_id", "lang", "source", "pieces.ids", "pieces.n_tokens", "pieces.ids_sha256", "pieces.round_trip", "pieces.parity")
 

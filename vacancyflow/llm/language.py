@@ -16,6 +16,7 @@ from vacancyflow.llm.shared import small_batches
 from vacancyflow.llm.words import chunks, mixed, split_words, vocabulary
 
 ORDER, SAMPLE_DOCS, LEFT_OUT, MOST_LANGUAGES = 4, 1500, 5, 1000
+CHUNK_BYTES = 1 << 20  # of texts scored at a time; what scoring holds is some forty times that
 SLACK, LIKELY, SPREADS = 0.4, 0.9, 3.0  # see `calibrated`
 BEGIN, END = "\x02", "\x03"
 PREDICTED = "lang_pred string, score double, cross_entropy double, rejected boolean"
@@ -189,7 +190,7 @@ def trained(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> M
     models = Models(counts)
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 1):
+        for batch in chunks(batches, 1, CHUNK_BYTES):
             h, n = models.cross_entropies(batch.column(1))
             column = np.array([models.langs.index(x) if x in models.langs else -1 for x in batch.column(0).to_pylist()])
             known = (column >= 0) & (n > 0)
@@ -204,6 +205,30 @@ def trained(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> M
     return models
 
 
+def scored(texts: pa.Array, models: Models | None) -> pa.StructArray:
+    if models is None:
+        h, n = np.full((len(texts), 1), np.inf), np.zeros(len(texts), np.int64)
+        langs, allowed = ["und"], np.full(len(texts), np.inf)
+    else:
+        h, n = models.cross_entropies(texts)
+        langs, allowed = models.langs, models.limits(h.argmin(axis=1), n)
+    best = h.argmin(axis=1)
+    lowest = h[np.arange(len(h)), best]
+    spread = np.exp(-(h - lowest[:, None]) * np.minimum(n, 40)[:, None]) if models else np.ones_like(h)
+    score = np.where(n > 0, 1 / spread.sum(axis=1), 0.0)
+    lang = np.where(n > 0, np.array(langs, dtype=object)[best], "und")
+    rejected = (n == 0) | (lowest > allowed)
+    columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(lowest, pa.float64(), mask=n == 0), pa.array(rejected)]
+    return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "cross_entropy", "rejected"])
+
+
+def predictions(batches: Iterator[pa.Array], models: Models | None) -> Iterator[pa.Array]:
+    """PREDICTED of every text of each batch, scored in slices of CHUNK_BYTES."""
+    for texts in batches:
+        parts = [scored(part.column(0), models) for part in chunks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), 0, CHUNK_BYTES)]
+        yield pa.concat_arrays(parts) if parts else pa.array([], PREDICTED_TYPE)
+
+
 def identified(docs: DataFrame, models: Models | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` of `docs`, then lang_pred, score, cross_entropy and rejected.
 
@@ -216,26 +241,8 @@ def identified(docs: DataFrame, models: Models | None, keep: tuple[str, ...] = (
     none. Only texts go to Python; the other columns stay where they are.
     """
 
-    def scored(texts: pa.Array) -> pa.StructArray:
-        if models is None:
-            h, n = np.full((len(texts), 1), np.inf), np.zeros(len(texts), np.int64)
-            langs, allowed = ["und"], np.full(len(texts), np.inf)
-        else:
-            h, n = models.cross_entropies(texts)
-            langs, allowed = models.langs, models.limits(h.argmin(axis=1), n)
-        best = h.argmin(axis=1)
-        lowest = h[np.arange(len(h)), best]
-        spread = np.exp(-(h - lowest[:, None]) * np.minimum(n, 40)[:, None]) if models else np.ones_like(h)
-        score = np.where(n > 0, 1 / spread.sum(axis=1), 0.0)
-        lang = np.where(n > 0, np.array(langs, dtype=object)[best], "und")
-        rejected = (n == 0) | (lowest > allowed)
-        columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(lowest, pa.float64(), mask=n == 0), pa.array(rejected)]
-        return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "cross_entropy", "rejected"])
-
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            parts = [scored(part.column(0)) for part in chunks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), 0)]
-            yield pa.concat_arrays(parts) if parts else pa.array([], PREDICTED_TYPE)
+        return predictions(batches, models)
 
     small_batches(docs.sparkSession)
     found = F.arrow_udf(run, PREDICTED)(F.col("text"))

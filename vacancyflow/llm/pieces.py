@@ -12,12 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from vacancyflow.llm.shared import small_batches
-from vacancyflow.llm.words import chunks
+from vacancyflow.llm.words import chunks, give_back
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the model format
 MARK = "▁"
-CHUNK_BYTES = 3 << 19
-SLICE_CHARS = 1 << 18
+CHUNK_BYTES = 1 << 20
+SLICE_CHARS = 1 << 17
 
 
 # The model file ---------------------------------------------------------------
@@ -164,20 +164,27 @@ def encoded(docs: DataFrame, model_path: str, keep: tuple[str, ...] = ("doc_id",
         model = file.read()
     spec = parsed(model)
 
+    # A function for each chunk: nothing of it is held while the next is encoded.
+    def coded(batch: pa.RecordBatch, coder: Pieces) -> pa.RecordBatch:
+        texts = [x or "" for x in batch.column(len(keep)).to_pylist()]
+        rows = []
+        told = coder.encode(texts)
+        backs = coder.decode([x[0] for x in told])
+        for original, back, (ids, same, normal) in zip(texts, backs, told, strict=True):
+            rows.append((ids if with_ids else None, len(ids), hashlib.sha256(ids).hexdigest(), None if back == original else back, back == coder.expected(normal), same))
+        ids, *rest = zip(*rows, strict=True)
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
+        names = ("ids", "n_tokens", "ids_sha256", "decoded", "round_trip", "parity")
+        columns = [pa.array(ids, pa.list_(pa.int32())), *[pa.array(c, t) for c, t in zip(rest, kinds, strict=True)]]
+        return pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.StructArray.from_arrays(columns, names)], [*keep, "pieces"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Pieces(model, spec)
         for batch in chunks(batches, len(keep), CHUNK_BYTES):
-            texts = [x or "" for x in batch.column(len(keep)).to_pylist()]
-            rows = []
-            told = coder.encode(texts)
-            backs = coder.decode([x[0] for x in told])
-            for original, back, (ids, same, normal) in zip(texts, backs, told, strict=True):
-                rows.append((ids if with_ids else None, len(ids), hashlib.sha256(ids).hexdigest(), None if back == original else back, back == coder.expected(normal), same))
-            ids, *rest = zip(*rows, strict=True)
-            kinds = (pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
-            names = ("ids", "n_tokens", "ids_sha256", "decoded", "round_trip", "parity")
-            columns = [pa.array(ids, pa.list_(pa.int32())), *[pa.array(c, t) for c, t in zip(rest, kinds, strict=True)]]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.StructArray.from_arrays(columns, names)], [*keep, "pieces"])
+            yield coded(batch, coder)
+        # The worker goes on to other stages.
+        del coder
+        give_back()
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     pieces = "struct<ids: array<int>, n_tokens: bigint, ids_sha256: string, decoded: string, round_trip: boolean, parity: boolean>"

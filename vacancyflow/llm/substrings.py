@@ -100,43 +100,48 @@ def dealt(batches: Iterator[pa.RecordBatch], buckets: int, length: int, most: in
     minimiser as one string of words.
     """
     for batch in chunks(batches, 2, most):
-        batch = batch.filter(pc.not_equal(batch.column(0), NO_ID))
-        values, starts = split_words(batch.column(2))
-        if len(values) < length:
-            continue
-        at, words = vocabulary(values)
-        ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        owner = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(starts))
-        inside = whole_runs(starts, length)
-        places = np.flatnonzero(inside).astype(np.int32)
-        if not len(places):
-            continue
-        known = np.zeros(len(inside), bool)
-        known[places] = repeats(at, places, ids[owner[places]], length)
-        del places
-        first, last = true_runs(known, starts)
-        if len(first):
-            o = owner[first]
-            blob = packed([ids[o], tags[o], first - starts[o], last + length - starts[o]])
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(mixed(ids[:1].astype(np.uint64))[0] % np.uint64(buckets))], pa.int32()), "kind": pa.array([RUNS], pa.int32()), "blob": pa.array([blob], pa.binary())})
-        key = sliding_least(run_hashes(text_hashes(words)[at], SEED), length - SEED + 1)
-        send = inside & ~known
-        change = np.flatnonzero(key[1:] != key[:-1]) + 1
-        first, last = true_runs(send, np.union1d(change, starts))
-        if not len(first):
-            continue
-        to = (mixed(key[first]) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        first, last, to = first[order], last[order], to[order]
-        windows = last - first + 1
-        taken = values.take(pa.array(ranges(first, windows + length - 1)))
-        edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
-        sizes = np.add.reduceat(windows + length - 1, edges)
-        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), taken), " ")
+        # A frame of its own: nothing of a chunk is held while the next is packed.
+        yield from dealt_chunk(batch, buckets, length)
+
+
+def dealt_chunk(batch: pa.RecordBatch, buckets: int, length: int) -> Iterator[pa.RecordBatch]:
+    batch = batch.filter(pc.not_equal(batch.column(0), NO_ID))
+    values, starts = split_words(batch.column(2))
+    if len(values) < length:
+        return
+    at, words = vocabulary(values)
+    ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    owner = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(starts))
+    inside = whole_runs(starts, length)
+    places = np.flatnonzero(inside).astype(np.int32)
+    if not len(places):
+        return
+    known = np.zeros(len(inside), bool)
+    known[places] = repeats(at, places, ids[owner[places]], length)
+    del places
+    first, last = true_runs(known, starts)
+    if len(first):
         o = owner[first]
-        columns = [ids[o], tags[o], first - starts[o], windows]
-        blobs = [packed([c[a:b] for c in columns], text.as_py()) for a, b, text in zip(edges, [*edges[1:], len(to)], texts, strict=True)]
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(to[edges], pa.int32()), "kind": pa.array(np.full(len(blobs), PACKED), pa.int32()), "blob": pa.array(blobs, pa.binary())})
+        blob = packed([ids[o], tags[o], first - starts[o], last + length - starts[o]])
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(mixed(ids[:1].astype(np.uint64))[0] % np.uint64(buckets))], pa.int32()), "kind": pa.array([RUNS], pa.int32()), "blob": pa.array([blob], pa.binary())})
+    key = sliding_least(run_hashes(text_hashes(words)[at], SEED), length - SEED + 1)
+    send = inside & ~known
+    change = np.flatnonzero(key[1:] != key[:-1]) + 1
+    first, last = true_runs(send, np.union1d(change, starts))
+    if not len(first):
+        return
+    to = (mixed(key[first]) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    first, last, to = first[order], last[order], to[order]
+    windows = last - first + 1
+    taken = values.take(pa.array(ranges(first, windows + length - 1)))
+    edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+    sizes = np.add.reduceat(windows + length - 1, edges)
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), taken), " ")
+    o = owner[first]
+    columns = [ids[o], tags[o], first - starts[o], windows]
+    blobs = [packed([c[a:b] for c in columns], text.as_py()) for a, b, text in zip(edges, [*edges[1:], len(to)], texts, strict=True)]
+    yield pa.RecordBatch.from_pydict({"bucket": pa.array(to[edges], pa.int32()), "kind": pa.array(np.full(len(blobs), PACKED), pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
 
 def found_runs(columns: list[np.ndarray], texts: list[str], length: int) -> list[np.ndarray]:
