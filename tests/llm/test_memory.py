@@ -1,4 +1,4 @@
-"""What a worker holds at a time."""
+"""What a worker holds at a time, and how often tables are read."""
 
 import random
 import tracemalloc
@@ -7,8 +7,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from vacancyflow.llm import language, pieces, substrings
+from vacancyflow.llm import language, pieces, substrings, toxicity
 from vacancyflow.llm.queries import PIECE_MODEL
 from vacancyflow.llm.words import CHUNK_BYTES
 
@@ -69,3 +70,20 @@ def test_pieces_come_in_chunks_of_a_megabyte(spark):
     found = pieces.encoded(docs, PIECE_MODEL, with_ids=False).select("doc_id", "pieces.*").collect()
     assert len(found) == 400 and all(r.parity and r.round_trip for r in found)
     assert pieces.CHUNK_BYTES <= 1 << 20
+
+
+def test_toxicity_reads_the_documents_once_to_learn(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, " ".join([*rng.choices("abcdefgh", k=60), *["horridword"] * (6 * (i % 2))])) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.read.parquet(f"{tmp_path}/docs").mapInArrow(passed, "doc_id long, text string")
+    model = toxicity.trained(docs, marks, F.lit(True))
+    assert model is not None and read.value == len(rows)

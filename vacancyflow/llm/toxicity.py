@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacancyflow.llm.shared import staged
 from vacancyflow.llm.words import chunks, split_words
 
 WINDOW = 10
@@ -170,7 +171,8 @@ def trained(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int
     # Some thousands of ids by `sample_docs`, so they go to the documents and not the other way round.
     choosing = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(CALIBRATION)) > 0
     told = told.filter(place < bound).withColumn("choosing", choosing)
-    sample = docs.select("doc_id", "text").join(F.broadcast(told), "doc_id").select("text", "toxic", "choosing")
+    # Stored, so that the documents are read once for it and not for each count.
+    sample = staged(docs.select("doc_id", "text").join(F.broadcast(told), "doc_id").select("text", "toxic", "choosing"))
     texts = sample.filter("choosing").select("text", "toxic")
     toxic, ordinary = texts.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     if not toxic or not ordinary:
